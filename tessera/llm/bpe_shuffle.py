@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 #: Bytes of text in a block, and of stored input for each bucket.
 BLOCK = 8 << 20
 #: White space as the rank files' library knows it (Unicode White_Space).
-_SPACE = r"\t-\r \x85\xa0  -     　"
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def _ranges(chars: set[str]) -> str:
@@ -55,7 +55,7 @@ def splitter(pattern: str):
     import regex
     import tiktoken
 
-    every = "".join(chr(c) for c in range(0x33000) if not 0xD800 <= c < 0xE000)
+    every = "".join(chr(c) for c in (*range(0x40000), *range(0xE0000, 0xE1000)) if not 0xD800 <= c < 0xE000)
     known, odd = {}, set()
     for kind in (r"\p{L}", r"\p{N}"):
         enc = tiktoken.Encoding("class", pat_str=kind, mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})

@@ -106,7 +106,7 @@ def test_splitter_matches_library_on_all_characters():
 
     path = P.path("byte_bpe_multi_50k.tiktoken")
     enc, find = bpe_shuffle.core(path, P.PATTERN), bpe_shuffle.splitter(P.PATTERN)
-    for low in range(0, 0x34000, 4096):
+    for low in (*range(0, 0x36000, 4096), 0xE0000, 0xF0000):
         text = "".join(f"a{chr(c)}{chr(c)}1 {chr(c)}" for c in range(low, low + 4096) if not 0xD800 <= c < 0xE000)
         ours = [i for p in find(text) for i in enc._core_bpe.encode_single_piece(p.encode())]
         assert ours == enc.encode_ordinary(text), hex(low)
