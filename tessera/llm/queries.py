@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import arrow_store, bpe_shuffle, repetition, transducer
+from tessera.llm import arrow_store, bpe_shuffle, mixing, parity, repetition, substring, transducer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -81,3 +81,45 @@ def op7_repetition_coverage(spark, sf_dir):
     """Quality rules by repetition coverage."""
     rows = repetition.repetition(_documents(spark, sf_dir))
     return rows.select("row.doc_id", *[f"stats.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
+
+
+@_query()
+def op8_pivotal_mixing(spark, sf_dir):
+    """Sources mixed to their targets by pivotal rounding."""
+    rows = mixing.plan(_documents(spark, sf_dir, "doc_id", "source", "text"))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@_query(
+    r"""WITH word AS (SELECT doc_id, unnest(ws) AS w, CAST(generate_subscripts(ws, 1) AS BIGINT) AS pos FROM (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents)),
+win AS (SELECT doc_id, pos, list(w) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS g FROM word),
+later AS (SELECT doc_id, pos AS s FROM (SELECT doc_id, pos, row_number() OVER (PARTITION BY g ORDER BY doc_id, pos) AS nth FROM win WHERE len(g) = 20) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, s + k AS pos FROM later, range(20) t(k)),
+marked AS (SELECT w.doc_id, w.pos, w.w, g.pos IS NOT NULL AS removed FROM word w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.pos = g.pos),
+agg AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (removed) AS n_removed, coalesce(string_agg(w, ' ' ORDER BY pos) FILTER (NOT removed), '') AS kept FROM marked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN agg USING (doc_id)"""
+)
+def op9_level_doubling(spark, sf_dir):
+    """Words of repeated 20-word windows removed but for their first place."""
+    return substring.dedup(_documents(spark, sf_dir)).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@_query(
+    r"""WITH RECURSIVE text AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+word AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM text WHERE len(ws) >= 4),
+shingle AS (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, list(w) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS g FROM word) WHERE len(g) = 4
+  UNION ALL SELECT doc_id, ws FROM text WHERE len(ws) BETWEEN 1 AND 3),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(a, b) AS (SELECT a, b FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a),
+least AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON least.a = d.doc_id"""
+)
+def op10_parity_sketch_join(spark, sf_dir):
+    """Components of documents linked by the Jaccard similarity of their 4-word shingles."""
+    return parity.join(_documents(spark, sf_dir), n=4, percent=85)
