@@ -73,12 +73,12 @@ def bands(percent: int, ratio: float = RATIO) -> np.ndarray:
 @functools.lru_cache(1 << 12)
 def layout(lo: int, hi: int, percent: int) -> tuple[int, int]:
     """(parts k, spare parts m) for sets of lo to hi shingles; k = 0: only equal sets can link. m covers
-    the empty parts that a set of lo shingles has but for chance."""
+    the empty parts that a set of lo shingles has but for chance, as far as parts stay large."""
     d = 2 * hi * (100 - percent) // (100 + percent)
     if not d:
         return 0, 0
     tried = []
-    for m in range(2, 2 * d + 8):
+    for m in range(2, d + 3):
         k = d + 1 + m
         q = math.exp(-lo / k)
         tried.append((k * q + 1.3 * math.sqrt(k * q * (1 - q)) - m, m))
