@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import arrow_store, bpe_shuffle, mixing, parity, repetition, substring, transducer
+from tessera.llm import arrow_store, bpe_shuffle, factorisation, mixing, parity, repetition, substring, transducer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -74,8 +74,8 @@ stat AS (SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word
   coalesce(cov5.chars, 0) AS c5, coalesce(cov7.chars, 0) AS c7, coalesce(cov10.chars, 0) AS c10
   FROM documents d LEFT JOIN base USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN cov5 USING (doc_id) LEFT JOIN cov7 USING (doc_id) LEFT JOIN cov10 USING (doc_id))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
-  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * dc <= 30 * word_chars AND 100 * c5 <= 20 * word_chars
-  AND 100 * c7 <= 18 * word_chars AND 100 * c10 <= 16 * word_chars AS kept FROM stat"""
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * dc <= 30 * word_chars AND 100 * c5 <= 30 * word_chars
+  AND 100 * c7 <= 26 * word_chars AND 100 * c10 <= 22 * word_chars AS kept FROM stat"""
 )
 def op7_repetition_coverage(spark, sf_dir):
     """Quality rules by repetition coverage."""
@@ -123,3 +123,10 @@ FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON least.a = d.d
 def op10_parity_sketch_join(spark, sf_dir):
     """Components of documents linked by the Jaccard similarity of their 4-word shingles."""
     return parity.join(_documents(spark, sf_dir), n=4, percent=85)
+
+
+@_query()
+def op4_factorisation_machine(spark, sf_dir):
+    """Quality scores of a factorisation machine fitted on the rows that are not held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    return factorisation.classify(_documents(spark, sf_dir), labels).select("row.doc_id", "held_out", "score", "predicted")
