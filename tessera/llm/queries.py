@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import arrow_store, bpe_shuffle, factorisation, mixing, parity, repetition, substring, transducer
+from tessera.llm import arrow_store, bpe_shuffle, factorisation, mixing, parity, repetition, substring, transducer, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -130,3 +130,11 @@ def op4_factorisation_machine(spark, sf_dir):
     """Quality scores of a factorisation machine fitted on the rows that are not held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     return factorisation.classify(_documents(spark, sf_dir), labels).select("row.doc_id", "held_out", "score", "predicted")
+
+
+@_query()
+def op1_warc_derivatives(spark, sf_dir):
+    """Metadata and conversion records of a response record of every page."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    raw = pages.select("page_id", warc.responses(F.col("url"), F.col("html")).alias("raw"))
+    return warc.derivatives(raw, "raw").select(F.col("row.page_id").alias("page_id"), "record_type", "record_id", "refers_to", "target_uri", "block_digest", "source_digest", F.length("record").cast("long").alias("n_bytes"), "text")
