@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import arrow_store, bpe_shuffle, factorisation, mixing, parity, repetition, substring, transducer, warc
+from tessera.llm import arrow_store, bm25, bpe_shuffle, factorisation, mixing, parity, repetition, substring, transducer, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -138,3 +138,21 @@ def op1_warc_derivatives(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     raw = pages.select("page_id", warc.responses(F.col("url"), F.col("html")).alias("raw"))
     return warc.derivatives(raw, "raw").select(F.col("row.page_id").alias("page_id"), "record_type", "record_id", "refers_to", "target_uri", "block_digest", "source_digest", F.length("record").cast("long").alias("n_bytes"), "text")
+
+
+@_query(
+    r"""WITH word AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) AS w FROM documents),
+tf AS (SELECT doc_id, w, count(*) AS n FROM word GROUP BY 1, 2),
+len AS (SELECT doc_id, sum(n) AS l FROM tf GROUP BY 1),
+stat AS (SELECT (SELECT count(*) FROM documents) AS n, (SELECT sum(l) FROM len)::DOUBLE / (SELECT count(*) FROM documents) AS mean),
+df AS (SELECT w, count(*) AS df FROM tf GROUP BY 1),
+scored AS (SELECT q.doc_id AS query_id, d.doc_id, sum(q.n * ln(1 + (stat.n - df + 0.5) / (df + 0.5)) * d.n * 2.2 / (d.n + 1.2 * (0.25 + 0.75 * l / mean))) AS score
+  FROM tf q JOIN tf d ON q.w = d.w JOIN df ON df.w = q.w JOIN len ON len.doc_id = d.doc_id, stat WHERE q.doc_id % 100 = 0 GROUP BY 1, 2),
+best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM scored)
+SELECT query_id, doc_id, round(score, 4) AS score, rank FROM best WHERE rank <= 10"""
+)
+def op5_block_max_bm25(spark, sf_dir):
+    """The ten best documents for each document whose id is divisible by 100, against all documents."""
+    docs = _documents(spark, sf_dir)
+    found = bm25.search(docs, docs.filter("doc_id % 100 = 0"), k=10)
+    return found.select("query_id", "doc_id", F.round("score", 4).alias("score"), "rank")

@@ -27,12 +27,12 @@ def new_path(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/tessera/{what}-{uuid.uuid4().hex}"
 
 
-def stash(df: DataFrame, what: str) -> DataFrame:
+def stash(df: DataFrame, what: str, per_file: int = 0) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: lineage ends there, and a lost
-    executor costs no recomputation of what stands before."""
+    executor costs no recomputation of what stands before. per_file: most rows in a file, for large rows."""
     spark = df.sparkSession
     path = new_path(spark, what)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("maxRecordsPerFile", per_file).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
