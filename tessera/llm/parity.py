@@ -8,8 +8,9 @@ such parts still meets every partner in another part, and a set with more is ske
 next hash, until it has no more than m. Both partners do so by rules of their own set, so none is
 missed. Equal sets are one class and travel once a task.
 
-Candidates of a part: all pairs of small groups; larger groups go through rounds of pivots, which
-skip members known to be connected with the pivot, so copies cost one link each. Pairs are first
+Candidates of a part: groups of three and more go through rounds of pivots. The first round compares
+the first member with the others, later ones the next members with those that are not yet connected
+with them, so a family of copies costs few links a member. Pairs are first
 bounded by the Hamming distance of 1024-bit parity sketches, then verified on the sets.
 
 Defined results: a null or empty text, or one without words, has an empty set and links to nothing; a
@@ -33,10 +34,12 @@ from pyspark.sql import functions as F
 
 from tessera.llm.components import components
 from tessera.llm.substring import _mix, word_hashes
-from tessera.llm.work import BROADCAST_IDS, sized, stash
+from tessera.llm.work import sized, stash
 
-#: Ratio of the sizes in a band; members of a group of which all pairs are taken; bits of a sketch.
-RATIO, SMALL, BITS = 1.4, 8, 1024
+#: Ratio of the sizes in a band; members of a group that goes without rounds; bits of a sketch.
+RATIO, SMALL, BITS = 1.4, 2, 1024
+#: Most sketches that are broadcast (BITS / 8 bytes each).
+SKETCHES = 100_000
 _K = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -216,8 +219,6 @@ def _sets(df: DataFrame, n: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link: bounded by sizes and sketches, then counted on the sets."""
-    side = lambda x, *c: sets.select(F.col("c").alias(x), *[F.col(y).alias(f"{y}_{x}") for y in c])
-
     def near(na: pa.Array, nb: pa.Array, sa: pa.Array, sb: pa.Array) -> pa.Array:
         if not len(na):
             return pa.array([], pa.bool_())
@@ -235,60 +236,65 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             out.append(100 * common >= percent * (len(x) + len(y) - common))
         return pa.array(out, pa.bool_())
 
-    light = pairs.join(side("a", "n", "sketch"), "a").join(side("b", "n", "sketch"), "b")
+    side = lambda frame, x, *c: frame.select(F.col("c").alias(x), *[F.col(y).alias(f"{y}_{x}") for y in c])
+    # Ids that name several rows can bring a set twice.
+    sketches, small = sets.select("c", "n", "sketch").dropDuplicates(["c"]), sets.count() <= SKETCHES
+    thin = lambda x: F.broadcast(side(sketches, x, "n", "sketch")) if small else side(sketches, x, "n", "sketch")
+    light = pairs.join(thin("a"), "a").join(thin("b"), "b")
     light = light.filter((100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a")))
     close = stash(light.filter(F.arrow_udf(near, "boolean")("n_a", "n_b", "sketch_a", "sketch_b")).select("a", "b"), "close")
-    full = close.join(side("b", "n", "s"), "b").join(side("a", "n", "s"), "a")
+    used = stash(close.select("a").unionAll(close.select("b")).distinct().withColumnRenamed("a", "c"), "used")
+    few = sets.join(sized(used), "c", "left_semi").dropDuplicates(["c"])
+    full = close.join(side(few, "b", "n", "s"), "b").join(side(few, "a", "n", "s"), "a")
     return full.filter(F.arrow_udf(linked, "boolean")("n_a", "n_b", "s_a", "s_b")).select("a", "b")
 
 
-def links(df: DataFrame, members: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame | None]:
-    """(links found, labels): every two classes that link are linked or connected by other links. df has
-    doc_id and text, members (doc_id, c, n)."""
-    spark = df.sparkSession
+def links(df: DataFrame, members: DataFrame, n: int, percent: int) -> DataFrame:
+    """(node, label) of the linked classes. df has doc_id and text, members (doc_id, c, n)."""
     found = stash(_signatures(df, n, percent).repartition("k").sortWithinPartitions("k", "c").mapInArrow(_groups, "k long, a long, b long, nth long"), "groups")
     pairs = found.filter("k IS NULL").select("a", "b").distinct()
     big = found.filter("k IS NOT NULL").select("k", F.col("a").alias("c"), "nth")
     some = stash(found.select("a").unionAll(found.filter("b IS NOT NULL").select("b")).distinct().withColumnRenamed("a", "c"), "candidates")
     ids = stash(members.join(sized(some), "c", "left_semi").groupBy("c").agg(F.min("doc_id").alias("_d")).select("_d").distinct(), "ids")
-    wanted = sized(ids)
-    texts = df.join(wanted, F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi")
-    sets = stash(_sets(texts, n).join(sized(some), "c", "left_semi").groupBy("c").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("s").alias("s")), "sets")
-    star = _pivots(big, None, 0, 1)
-    known = stash(_verified(pairs.unionAll(star).distinct(), sets, percent), "links")
+    texts = df.join(sized(ids), F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi")
+    sets = stash(_sets(texts, n).join(sized(some), "c", "left_semi"), "sets")
+    star = big.filter("nth = 0").select("k", F.col("c").alias("p"))
+    stars = big.filter("nth > 0").join(star, "k").select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b"))
+    known = stash(_verified(stash(pairs.unionAll(stars).distinct(), "pairs"), sets, percent), "links")
+    labels = stash(components(known), "labels")
     last = big.agg(F.max("nth")).first()[0]
-    labels = stash(components(known), "labels") if known.limit(1).collect() else None
     lo, hi = 1, 8
     while last is not None and lo <= last:
-        more = stash(_pivots(big, labels, lo, hi), "pairs")
+        big = stash(_mixed(big, labels), "mixed")
+        if not big.limit(1).collect():
+            break
+        more = stash(_pivots(big, lo, hi), "pairs")
         if more.limit(1).collect():
-            new = stash(_verified(more, sets, percent), "links")
-            if new.limit(1).collect():
-                known = known.unionAll(new)
-                labels = stash(components(known), "labels")
-        lo, hi = hi, hi * 8
-    return known, labels if labels is not None else spark.createDataFrame([], "node long, label long")
+            known = known.unionAll(stash(_verified(more, sets, percent), "links"))
+            labels = stash(components(known), "labels")
+        big, lo, hi = big.drop("label"), hi, hi * 8
+    return labels
+
+
+def _mixed(big: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of the groups that span several components, with their labels."""
+    named = big.join(sized(labels.withColumnRenamed("node", "c")), "c", "left").withColumn("label", F.coalesce("label", "c"))
+    mixed = named.groupBy("k").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("k")
+    return named.join(sized(stash(mixed, "keys")), "k", "left_semi")
 
 
-def _pivots(big: DataFrame, labels: DataFrame | None, lo: int, hi: int) -> DataFrame:
+def _pivots(big: DataFrame, lo: int, hi: int) -> DataFrame:
     """Pairs of the members numbered lo to hi - 1 with later ones of their group in other components."""
-    if labels is not None:
-        lab = labels.select(F.col("node").alias("c"), "label")
-        big = big.join(lab, "c", "left").withColumn("label", F.coalesce("label", "c"))
-        mixed = big.groupBy("k").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("k")
-        big = big.join(mixed, "k", "left_semi")
-    else:
-        big = big.withColumn("label", F.col("c"))
     p = big.filter((F.col("nth") >= lo) & (F.col("nth") < hi)).select("k", F.col("c").alias("p"), F.col("nth").alias("pn"), F.col("label").alias("pl"))
-    both = big.join(p, "k").filter("nth > pn AND label <> pl")
+    both = big.join(sized(p), "k").filter("nth > pn AND label <> pl")
     return both.select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
 
 
 def _joined(df: DataFrame, id_col: str, text: str, n: int, percent: int) -> DataFrame:
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     members = stash(docs.select("doc_id", _describe(n)("text").alias("x")).select("doc_id", "x.c", "x.n"), "members")
-    _, labels = links(docs, members, n, percent)
-    named = members.join(sized(stash(labels, "labels").withColumnRenamed("node", "c")), "c", "left").withColumn("root", F.coalesce("label", "c"))
+    labels = links(docs, members, n, percent)
+    named = members.join(sized(labels.withColumnRenamed("node", "c")), "c", "left").withColumn("root", F.coalesce("label", "c"))
     least = named.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"), F.count("*").alias("many")).filter("many > 1")
     out = named.join(least.select("root", "least"), "root", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), "c", "root")

@@ -27,15 +27,23 @@ def new_path(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/tessera/{what}-{uuid.uuid4().hex}"
 
 
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Has the driver delete a finished intermediate, in whatever store it is, when the session's JVM ends."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+
+
 def stash(df: DataFrame, what: str, per_file: int = 0) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: lineage ends there, and a lost
     executor costs no recomputation of what stands before. per_file: most rows in a file, for large rows."""
     spark = df.sparkSession
     path = new_path(spark, what)
     df.write.option("compression", "zstd").option("maxRecordsPerFile", per_file).parquet(path)
+    drop_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def sized(ids: DataFrame) -> DataFrame:
-    """Marks a stored frame of ids for broadcast if it is small enough; else leaves it to the planner."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+def sized(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
+    """Marks a stored frame for broadcast if it has at most `most` rows; else leaves it to the planner."""
+    return F.broadcast(ids) if ids.count() <= most else ids

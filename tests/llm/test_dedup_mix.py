@@ -103,8 +103,9 @@ def test_components(spark):
                     want[y] = x
                     stack += near[y]
     want = {k: v for k, v in want.items() if near[k] != {k}}
-    got = {r.node: r.label for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == want
+    for one_task in (0, 10_000):
+        got = {r.node: r.label for r in components.components(spark.createDataFrame(edges, "a long, b long"), one_task).collect()}
+        assert got == want
 
 
 def brute_substring(rows, width):
