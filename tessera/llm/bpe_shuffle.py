@@ -28,8 +28,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of text in a block, and of stored input for each bucket.
-BLOCK = 8 << 20
+#: Characters of text in a block; most buckets.
+BLOCK = 16 << 20
+BUCKETS = 4096
 #: White space as the rank files' library knows it (Unicode White_Space).
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -194,8 +195,10 @@ def _rows(block: Block, at: int, names: list, buckets: int):
     edges = np.searchsorted(bucket[by], np.arange(buckets + 1))
     for k in range(buckets):
         if (own := by[edges[k] : edges[k + 1]]).size:
+            own = own[np.argsort(place[own], kind="stable")]  # rising, so the steps are short
             size = np.fromiter((len(words[i]) for i in own), np.uint32, len(own))
-            yield k, at, 1, _pack(place[own].tobytes()), _pack(struct.pack("<q", len(own)) + size.tobytes() + b"".join(words[i] for i in own))
+            listed = struct.pack("<q", len(own)) + size.tobytes() + b"".join(words[i] for i in own)
+            yield k, at, 1, _pack(_varint(np.diff(place[own], prepend=np.uint32(0)))), zlib.compress(listed, 6)
 
 
 def _encode_bucket(memo: dict, packed: bytes, path: str, pattern: str) -> bytes:
@@ -221,7 +224,8 @@ def _table(rows: list) -> pa.RecordBatch:
 def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text: str = "text", buckets: int | None = None, block_bytes: int = BLOCK) -> DataFrame:
     """(id, ids) of each row: ids as binary of little-endian unsigned 32-bit integers.
 
-    `buckets` bounds the distinct words of a task; by default one for each shuffle partition.
+    `buckets` bounds the distinct words of a task; by default one for each shuffle partition, but at
+    most BUCKETS, as a block sends each bucket a row and distinct words grow more slowly than texts.
     """
     return _assembled(df, path, pattern, id_col, text, buckets, block_bytes, lambda ids: (ids.astype("<u4").tobytes(),), [("ids", "binary", pa.binary())])
 
@@ -242,7 +246,7 @@ def digest(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text:
 
 def _assembled(df, path, pattern, id_col, text, buckets, block_bytes, of, fields) -> DataFrame:
     spark = df.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or min(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     # Both shuffles are dealt by number, so that a bucket's or a block's rows arrive in one task.
     schema = "bucket long, block long, kind int, a binary, b binary"
@@ -283,7 +287,7 @@ def _assembled(df, path, pattern, id_col, text, buckets, block_bytes, of, fields
             parts = []
             for r in held:
                 if r["kind"] == 1:
-                    place, raw = np.frombuffer(zlib.decompress(r["a"]), np.uint32), zlib.decompress(r["b"])
+                    place, raw = np.cumsum(_unvarint(zlib.decompress(r["a"]))), zlib.decompress(r["b"])
                     n = len(place)
                     parts.append((place, np.frombuffer(raw, np.uint32, n, 8).astype(np.int64), np.frombuffer(raw, np.uint32, -1, 8 + 4 * n)))
             total = sum(len(p) for p, _, _ in parts)
