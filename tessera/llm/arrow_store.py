@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import zlib
 
 import numpy as np
@@ -26,13 +27,47 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.work import new_path, stash
+from tessera.llm.work import drop_at_exit, new_path, stash
 
 MAGIC = b"ARROW1"
 #: Ids after which a file is closed at the next document end.
-FILE_IDS = 8 << 20
+FILE_IDS = 2 << 20
 BATCH = 64
-REMEMBER = 400_000
+REMEMBER = 200_000
+
+
+class _Memo:
+    """Ids of words in two generations: the older one is dropped when the newer is full, so frequent
+    words stay and memory is bounded."""
+
+    def __init__(self, before: str):
+        self.before, self.new, self.old = before, {}, {}
+
+    def turn(self) -> None:
+        if len(self.new) > REMEMBER:
+            self.new, self.old = {}, self.new
+
+    def missing(self, words: set[str]) -> list[str]:
+        """The words that are in neither generation; the others are in the newer one afterwards."""
+        new, old, out = self.new, self.old, []
+        for w in words.difference(new):
+            if (ids := old.get(w)) is None:
+                out.append(w)
+            else:
+                new[w] = ids
+        return out
+
+
+#: A word that is letters, then marks: two pre-tokens. The letters are such in every Unicode version.
+_MARKED = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+)([!-/:-@\[-`{-~]+)").fullmatch
+
+
+def _plain(text: str) -> bool:
+    """Whether all white space is single spaces and line feeds between other characters."""
+    if text[0] in " \n" or text[-1] in " \n" or any(x in text for x in ("  ", "\n\n", " \n", "\n ")):
+        return False
+    # Printable characters have no white space among them but the space.
+    return all(map(str.isprintable, text.split("\n"))) or " ".join(text.split()) == text.replace("\n", " ")
 
 
 class WordEncoder:
@@ -50,26 +85,51 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.first: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
+        self.first, self.spaced = _Memo(""), _Memo(" ")
         self.feed = self._ids(["\n"])[0]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
-
-    def _learn(self, memo: dict[str, bytes], words: set[str], before: str) -> None:
-        if new := list(words.difference(memo)):
-            if len(memo) > REMEMBER:
-                memo.clear()
-                new = list(words)
-            memo.update(zip(new, self._ids([before + w for w in new])))
+        out = []
+        for k in range(0, len(texts), 2000):
+            found = self.library.encode_batch_fast(texts[k : k + 2000], add_special_tokens=False)
+            out += [np.array(e.ids, self.dtype).tobytes() for e in found]
+        return out
+
+    def _word_ids(self, words: list[str], before: str) -> list[bytes]:
+        """Ids of words without white space; many share a call, a line feed between them."""
+        feed, out = np.frombuffer(self.feed, self.dtype), []
+        for k in range(0, len(words), 2000):
+            part = words[k : k + 2000]
+            (found,) = self.library.encode_batch_fast(["".join(f"\n{before}{w}" for w in part)], add_special_tokens=False)
+            ids = np.array(found.ids, self.dtype)
+            cut = np.flatnonzero(ids == feed[0])
+            if len(feed) != 1 or len(cut) != len(part):
+                out += self._ids([before + w for w in part])
+                continue
+            raw, size = ids.tobytes(), self.dtype.itemsize
+            out += [raw[a:z] for a, z in zip(((cut + 1) * size).tolist(), [*(cut[1:] * size).tolist(), len(raw)])]
+        return out
+
+    def _learn(self, memo: _Memo, words: set[str]) -> None:
+        if not (new := memo.missing(words)):
+            return
+        split = [(w, m[1], m[2]) for w in new if (m := _MARKED(w))]
+        alone = set(new).difference(w for w, _, _ in split)
+        marks = {m for _, _, m in split}
+        if memo is not self.first:
+            self._learn(self.first, marks)
+        cores = memo.missing({c for _, c, _ in split} | (marks if memo is self.first else set()))
+        whole = list(alone.union(cores))
+        memo.new.update(zip(whole, self._word_ids(whole, memo.before)))
+        a, b = memo.new, self.first.new
+        for w, core, mark in split:
+            a[w] = a[core] + b[mark]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes of self.dtype."""
         plan, first, spaced = [], set(), set()
         for text in texts:
-            if not text or " ".join(text.split()) != text.replace("\n", " ") or any(t in text for t in self.added):
+            if not text or any(t in text for t in self.added) or not _plain(text):
                 plan.append(None)
                 continue
             lines = [line.split(" ") for line in text.split("\n")]
@@ -77,10 +137,12 @@ class WordEncoder:
             for line in lines:
                 first.add(line[0])
                 spaced.update(line[1:])
-        self._learn(self.first, first, "")
-        self._learn(self.spaced, spaced, " ")
+        self.first.turn()
+        self.spaced.turn()
+        self._learn(self.first, first)
+        self._learn(self.spaced, spaced)
         whole = iter(self._ids([t for t, lines in zip(texts, plan) if lines is None]))
-        a, b = self.first.__getitem__, self.spaced.__getitem__
+        a, b = self.first.new.__getitem__, self.spaced.new.__getitem__
         return [
             next(whole) if lines is None else self.feed.join([a(line[0]) + b"".join(map(b, line[1:])) for line in lines])
             for lines in plan
@@ -170,34 +232,39 @@ def write(df: DataFrame, folder: str, tokenizer: str, end_id: int, length: int =
     files.write.option("lineSep", MAGIC.decode()).option("maxRecordsPerFile", 1).text(folder)
 
 
-def read_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """(part, file, doc_id, local_start, ids binary of little-endian uint32) of every document written."""
+def _read(spark: SparkSession, folder: str, value, kind: pa.DataType, name: str) -> DataFrame:
+    """(part, file, doc_id, local_start, n_tokens, name: value(ids)) of every document written."""
 
     def parse(batches):
         for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1)
-                out = [(d, a, x.astype("<u4").tobytes()) for d, a, x in documents_of(row["content"][0].as_buffer())]
-                for i in range(0, len(out), 1000):
-                    d, a, x = zip(*out[i : i + 1000])
-                    same = lambda c: pa.array([row[c][0].as_py()] * len(d), pa.int64())  # noqa: B023, E731
-                    yield pa.RecordBatch.from_arrays([same("part"), same("file"), pa.array(d, pa.int64()), pa.array(a, pa.int64()), pa.array(x, pa.binary())], ["part", "file", "doc_id", "local_start", "ids"])
+            for part, number, content in zip(batch["part"].to_pylist(), batch["file"].to_pylist(), batch["content"]):
+                out = []
+                for d, a, x in documents_of(content.as_buffer()):
+                    out.append((part, number, d, a, len(x), value(x)))
+                    if len(out) == 1000:
+                        yield table(out)
+                        out = []
+                if out:
+                    yield table(out)
+
+    def table(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (*[pa.int64()] * 5, kind))], ["part", "file", "doc_id", "local_start", "n_tokens", name])
 
     number = lambda p: F.regexp_extract("path", p, 1).cast("long")
     files = spark.read.format("binaryFile").load(f"{folder}/part-*")
-    files = files.select(number(r"part-(\d+)-[^/]*$").alias("part"), number(r"-c(\d+)[^/]*$").alias("file"), "content")
-    return files.mapInArrow(parse, "part long, file long, doc_id long, local_start long, ids binary")
+    files = files.select(number(r"part-(\d+)-[^/]*$").alias("part"), number(r"-c(\d+)\.[^/]*$").alias("file"), "content")
+    return files.mapInArrow(parse, f"part long, file long, doc_id long, local_start long, n_tokens long, {name} {'long' if kind == pa.int64() else 'binary'}")
+
+
+def read_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """(part, file, doc_id, local_start, n_tokens, ids binary of little-endian uint32) of every document written."""
+    return _read(spark, folder, lambda x: x.astype("<u4").tobytes(), pa.binary(), "ids")
 
 
 def digest(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 per document, from the files alone; only one row a file
     meets in the window that numbers the files' first ids."""
-
-    def crc(x: pa.Array) -> pa.Array:
-        return pa.array([zlib.crc32(v.as_buffer()) for v in x], pa.int64())
-
-    n = (F.length("ids") / 4).cast("long")
-    docs = stash(read_documents(spark, folder).select("part", "file", "doc_id", "local_start", n.alias("n_tokens"), F.arrow_udf(crc, "long")("ids").alias("ids_crc32")), "digest")
+    docs = stash(_read(spark, folder, lambda x: zlib.crc32(x.astype("<u4")), pa.int64(), "ids_crc32"), "digest")
     before = Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)
     files = docs.groupBy("part", "file").agg(F.sum("n_tokens").alias("n"))
     base = files.select("part", "file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
@@ -208,6 +275,7 @@ def write_and_digest(df: DataFrame, tokenizer: str, end_id: int = 2, length: int
     spark = df.sparkSession
     folder = new_path(spark, "arrow")
     write(df, folder, tokenizer, end_id, length, **kw)
+    drop_at_exit(spark, folder)
     if not any(True for _ in spark.read.format("binaryFile").load(folder).select("path").limit(1).collect()):
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     return digest(spark, folder)
