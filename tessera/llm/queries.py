@@ -78,8 +78,9 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_w
   AND 100 * c7 <= 26 * word_chars AND 100 * c10 <= 22 * word_chars AS kept FROM stat"""
 )
 def op7_repetition_coverage(spark, sf_dir):
-    """Quality rules by repetition coverage."""
-    rows = repetition.repetition(_documents(spark, sf_dir))
+    """Quality rules by repetition coverage, at the wider limits that the SQL states."""
+    rules = repetition.Rules(max_covered=((5, 0.30), (7, 0.26), (10, 0.22)), min_covered=0)
+    rows = repetition.repetition(_documents(spark, sf_dir), rules=rules)
     return rows.select("row.doc_id", *[f"stats.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
 
 

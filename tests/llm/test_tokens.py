@@ -142,3 +142,16 @@ def test_repetition_survives_hash_collisions(monkeypatch):
     want = repetition.measure(texts, (5, 7, 10))
     monkeypatch.setattr(repetition, "_mix", lambda x: x * np.uint64(0))
     assert repetition.measure(texts, (5, 7, 10)) == want and want[0]["n_repeat_words"] == 10
+
+
+def test_long_repeats_decide_below_the_base_share(spark):
+    words = [f"w{i:04}" for i in range(400)]
+    said = words[:22]
+    texts = [
+        " ".join(words[:228] + said),  # 44 of 250 words under repeated 10-grams, 17.6 percent
+        " ".join(words[:260] + said),  # 15.6 percent
+        " ".join(words[:88] + words[:9]),  # a short text, 18 of 97 words and 90 characters, 18.6 percent
+    ]
+    rows = repetition.repetition(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.row.doc_id: (r.base_failed, r.kept) for r in rows} == {0: (False, False), 1: (False, True), 2: (False, True)}
+    assert [r.doc_id for r in repetition.keep_clean(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()] == [1, 2]
