@@ -62,6 +62,16 @@ def test_machine_interactions_in_linear_time():
     assert np.allclose(m.raw(at, x, edge), want)
 
 
+def test_most_frequent_word_of_the_whole_text():
+    words = [b"w%d" % i for i in range(800)]
+    words[1::10] = [b"x"] * 80
+    want = factorisation.structure(b" ".join(words), words)
+    assert want[-1] == 0.1
+    for seed in range(20):
+        random.Random(seed).shuffle(words)
+        assert factorisation.structure(b" ".join(words), words)[-1] == 0.1
+
+
 def test_classifier_held_out(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
