@@ -1,4 +1,4 @@
-"""Quality classifier: a factorisation machine over hashed words and structure statistics.
+"""Quality classifier: a factorisation machine over hashed words, structure statistics and metadata.
 
 score = sigmoid(b + sum w_i x_i + 1/2 sum_f [(sum v_if x_i)^2 - sum (v_if x_i)^2]): the pairwise
 interactions of all features at rank f, in time linear in the features of a text.
@@ -7,6 +7,9 @@ The model is fitted on the driver on at most 2 * `most` labelled rows (`most` of
 with the least id hashes); the rows are weighted so that each label counts as often as it occurs.
 Fitting is deterministic. Scoring reads every whole text.
 
+Metadata are any columns of the table: a value is hashed with its column's name, a number by its sign and
+power of two. A null has no feature. Each counts as much as a structure statistic.
+
 Defined results: a null or empty text has the structure features of an empty text and is scored; with
 no labelled rows every score is 0.5; of several labels of one id the least counts; null labels do not;
 repeated rows are scored alike. Other columns are carried unchanged.
@@ -14,16 +17,19 @@ repeated rows are scored alike. Other columns are carried unchanged.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
+from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HASHED = 1 << 16
+HASHED, METADATA = 1 << 16, 1 << 12
 REMEMBER = 500_000
 
 
@@ -66,13 +72,28 @@ def structure(b: bytes, words: list[bytes]) -> list[float]:
 STRUCTURE = len(structure(b"", []))
 
 
-def features(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-    """(feature numbers, values): distinct hashed words share a length of 1, then the structure."""
+def described(columns: list[str], values: tuple) -> list[bytes]:
+    """The metadata features of a row, as they are hashed."""
+    out = []
+    for c, v in zip(columns, values):
+        if v is None:
+            continue
+        if isinstance(v, (int, float, Decimal)) and not isinstance(v, bool):
+            v = float(v)
+            v = f"{np.sign(v):+.0f}e{math.frexp(v)[1]}" if math.isfinite(v) else v
+        out.append(f"\0{c}={v}".encode("utf-8", "replace"))
+    return out
+
+
+def features(text: bytes | None, meta: list[bytes] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """(feature numbers, values): distinct hashed words share a length of 1, then the structure and the
+    metadata."""
     b = text or b""
     words = b.split()
     slots = np.unique(np.fromiter(map(_slots.__getitem__, words), np.int64, len(words)))
     value = np.full(len(slots), 1 / np.sqrt(len(slots) or 1))
-    return np.concatenate([slots, HASHED + np.arange(STRUCTURE)]), np.concatenate([value, structure(b, words)])
+    own = np.array([HASHED + STRUCTURE + (zlib.crc32(m) & (METADATA - 1)) for m in meta], np.int64)
+    return np.concatenate([slots, HASHED + np.arange(STRUCTURE), own]), np.concatenate([value, structure(b, words), np.ones(len(own))])
 
 
 @dataclass
@@ -100,7 +121,7 @@ def _flat(rows: list[tuple[np.ndarray, np.ndarray]]):
 def fit(rows: list, y: np.ndarray, weight: np.ndarray, rank: int = 8, epochs: int = 8, rate: float = 0.1, l2: float = 1e-5, seed: int = 7) -> Machine:
     """Logistic loss by AdaGrad on batches of 128 rows, in a fixed order."""
     rng = np.random.default_rng(seed)
-    size = HASHED + STRUCTURE
+    size = HASHED + STRUCTURE + METADATA
     m = Machine(0.0, np.zeros(size), rng.normal(0, 0.02, (size, rank)))
     if not len(rows):
         return Machine(0.0, np.zeros(size), np.zeros((size, rank)))
@@ -128,7 +149,7 @@ def fit(rows: list, y: np.ndarray, weight: np.ndarray, rank: int = 8, epochs: in
     return m
 
 
-def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality", most: int = 3000, **kw) -> Machine:
+def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality", most: int = 3000, metadata: Sequence[str] = (), **kw) -> Machine:
     """Fits on at most `most` rows of each label. The ids come first, from the labels alone; the
     features are made where the texts are."""
     known = labels.filter(F.col(f"`{label}`").isNotNull() & F.col(f"`{id_col}`").isNotNull())
@@ -144,12 +165,15 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         chosen = chosen.unionAll(more)
     ids = chosen.sparkSession.createDataFrame(chosen.collect(), "_id long, _y int")
 
-    def make(x: pa.Array) -> pa.Array:
-        found = [features(v) for v in x.cast(pa.large_binary()).to_pylist()]
+    metadata = list(metadata)
+
+    def make(x: pa.Array, *meta: pa.Array) -> pa.Array:
+        found = [features(v, described(metadata, m)) for v, *m in zip(x.cast(pa.large_binary()).to_pylist(), *[c.to_pylist() for c in meta])]
         return pa.array([{"at": a.tolist(), "x": v.tolist()} for a, v in found], pa.struct([("at", pa.list_(pa.int32())), ("x", pa.list_(pa.float64()))]))
 
-    texts = df.select(F.col(f"`{id_col}`").alias("_i"), F.col(f"`{text}`").alias("_t")).join(F.broadcast(ids), F.col("_i") == F.col("_id"))
-    got = texts.select("_id", "_y", F.arrow_udf(make, "at array<int>, x array<double>")("_t").alias("f")).dropDuplicates(["_id"]).toArrow()
+    extra = [f"_m{k}" for k in range(len(metadata))]
+    texts = df.select(F.col(f"`{id_col}`").alias("_i"), F.col(f"`{text}`").alias("_t"), *[F.col(f"`{c}`").alias(m) for c, m in zip(metadata, extra)]).join(F.broadcast(ids), F.col("_i") == F.col("_id"))
+    got = texts.select("_id", "_y", F.arrow_udf(make, "at array<int>, x array<double>")("_t", *extra).alias("f")).dropDuplicates(["_id"]).toArrow()
     got = got.sort_by("_id")
     f = got["f"].combine_chunks()
     rows = [(a.values.to_numpy().astype(np.int64), x.values.to_numpy()) for a, x in zip(f.field("at"), f.field("x"))]
@@ -159,16 +183,17 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     return fit(rows, (y == 1).astype(float), weight * len(weight) / weight.sum(), **kw)
 
 
-def score(text: Column | str, machine: Machine) -> Column:
-    """The score of a text column."""
+def score(text: Column | str, machine: Machine, metadata: Sequence[str] = ()) -> Column:
+    """The score of a text column and the metadata columns that the machine was fitted with."""
+    metadata = list(metadata)
     bias, w, v = machine.bias, machine.w.astype(np.float32), machine.v.astype(np.float32)
 
-    def run(x: pa.Array) -> pa.Array:
+    def run(x: pa.Array, *meta: pa.Array) -> pa.Array:
         m, out = Machine(bias, w, v), []
         held: list = []
         size = 0
-        for b in x.cast(pa.large_binary()):
-            held.append(features(b.as_py()))
+        for b, *own in zip(x.cast(pa.large_binary()), *[c.to_pylist() for c in meta]):
+            held.append(features(b.as_py(), described(metadata, own)))
             size += len(held[-1][0])
             if size > 100_000:
                 out.append(sigmoid(m.raw(*_flat(held)[:3])))
@@ -177,17 +202,17 @@ def score(text: Column | str, machine: Machine) -> Column:
             out.append(sigmoid(m.raw(*_flat(held)[:3])))
         return pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
 
-    return F.arrow_udf(run, "double")(text)
+    return F.arrow_udf(run, "double")(text, *[F.col(f"`{c}`") for c in metadata])
 
 
 def held_out(doc_id: Column, fold: int = 2, folds: int = 4) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)) == fold
 
 
-def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", cut: float = 0.7, **kw) -> DataFrame:
+def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", cut: float = 0.7, metadata: Sequence[str] = (), **kw) -> DataFrame:
     """(row, held_out, score, predicted) of each row of df; labels of held-out ids are not looked at.
-    A null id is not held out."""
+    A null id is not held out. metadata: columns of df that are features too."""
     out = F.coalesce(held_out(F.col(f"`{id_col}`")), F.lit(False))
-    machine = train(df, labels.filter(~out), id_col, text, **kw)
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), out.alias("held_out"), score(F.col(f"`{text}`"), machine).alias("score"))
+    machine = train(df, labels.filter(~out), id_col, text, metadata=metadata, **kw)
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), out.alias("held_out"), score(F.col(f"`{text}`"), machine, metadata).alias("score"))
     return rows.select("row", "held_out", "score", (F.col("score") >= cut).cast("int").alias("predicted"))

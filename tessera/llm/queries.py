@@ -130,7 +130,7 @@ def op10_parity_sketch_join(spark, sf_dir):
 def op4_factorisation_machine(spark, sf_dir):
     """Quality scores of a factorisation machine fitted on the rows that are not held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    return factorisation.classify(_documents(spark, sf_dir), labels).select("row.doc_id", "held_out", "score", "predicted")
+    return factorisation.classify(_documents(spark, sf_dir, "doc_id", "text", "n_chars"), labels, metadata=["n_chars"]).select("row.doc_id", "held_out", "score", "predicted")
 
 
 @_query()

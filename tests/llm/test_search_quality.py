@@ -94,6 +94,17 @@ def test_classifier_odd_rows(spark):
     assert {r.score for r in factorisation.classify(df, labels.limit(0)).collect()} == {0.5}
 
 
+def test_classifier_learns_from_metadata(spark):
+    """Equal texts whose labels only the metadata tell apart."""
+    rows = [(i, "same words in each", ["good", "bad"][i % 2], [700.0, -0.5][i % 2], None) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kind string, size double, none string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(200)], "doc_id long, quality int")
+    for metadata in (["kind"], ["size"], ["none", "kind", "size"]):
+        got = factorisation.classify(df, labels, metadata=metadata, epochs=20).collect()
+        assert all(r.predicted == 1 - r.row.doc_id % 2 for r in got) and any(r.held_out for r in got)
+    assert len({r.score for r in factorisation.classify(df, labels, metadata=["none"]).collect()}) == 1
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, seen = docs.columns, [docs.count()]
