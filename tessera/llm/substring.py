@@ -3,6 +3,8 @@
 Words are maximal runs of bytes other than the six ASCII white-space characters. Windows of 10
 words are looked at first, windows of 20 only where a window of 10 inside repeats, windows of 40 only
 where two of 20 end to end repeat, and so on. The hash of a window is made of its halves' hashes.
+repeated_spans() doubles until nothing repeats; dedup() stops at the first doubling, 20 words, as
+longer windows remove no more.
 
 At the first length a sample stands for all: of the 10-word windows in a 20-word window the one with
 the least hash is its anchor. Equal 20-word windows have equal anchors, so a window whose anchor
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -213,16 +216,46 @@ def _later(batches):
 def repeated_windows(df: DataFrame, id_col: str = "doc_id", text: str = "text", base: int = BASE) -> DataFrame:
     """(_id, _m, starts) of every document with a window of 2 * base words that also starts earlier:
     starts is a list of packed 32-bit positions of such windows; _m tells rows of one id apart."""
+    ordered = _candidates(df, id_col, text, base).sortWithinPartitions("h", "w", F.col("_id").asc_nulls_last(), "at")
+    gone = ordered.mapInArrow(_later, "_id long, _m int, starts binary")
+    return stash(gone.groupBy("_id", "_m").agg(F.collect_list("starts").alias("starts")), "repeats")
+
+
+def _repeating(rows: DataFrame) -> DataFrame:
+    """Of places (h, w, _id, at) those whose window (h, w) is at two or more."""
+    often = rows.groupBy("h", "w").agg(F.count("*").alias("_n")).filter("_n > 1").select("h", "w")
+    return rows.join(often, ["h", "w"], "left_semi")
+
+
+def repeated_spans(df: DataFrame, id_col: str = "doc_id", text: str = "text", base: int = BASE) -> DataFrame:
+    """(_id, _m, at, width): of each place (word number at, from 0) where a window of 2 * base words begins
+    that is at two or more places, the greatest width of 2 * base, 4 * base, ... whose window there is so.
+    Levels are doubled until no window repeats."""
+    width = 2 * base
+    level = stash(_repeating(_candidates(df, id_col, text, base).dropDuplicates(["h", "w", "_id", "at"])), "level")
+    levels = []
+    while not level.isEmpty():
+        levels.append(level.select("_id", "at", F.lit(width).cast("long").alias("width")))
+        ahead = level.select(F.col("h").alias("h2"), F.col("w").alias("w2"), F.col("_id").alias("_id2"), (F.col("at") - width).alias("at2"))
+        both = level.join(ahead, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("at") == F.col("at2")))
+        halves = ["h", "w", "h2", "w2"]
+        level = stash(_repeating(both.select(F.xxhash64(*halves).alias("h"), F.xxhash64(F.lit(1), *halves).alias("w"), "_id", "at")), "level")
+        width *= 2
+    if not levels:
+        return level.select("_id", F.lit(0).alias("_m"), "at", F.lit(0).cast("long").alias("width"))
+    found = reduce(DataFrame.unionAll, levels).groupBy("_id", "at").agg(F.max("width").alias("width"))
+    return found.select("_id", F.shiftright("at", 32).cast("int").alias("_m"), F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).alias("at"), "width")
+
+
+def _candidates(df: DataFrame, id_col: str, text: str, base: int) -> DataFrame:
+    """(h, w, _id, at) of the windows of 2 * base words whose anchors repeat, dealt by h, the anchor's hash."""
     rows = _keyed(df, id_col, text)
     found = rows.mapInArrow(_emit_anchors(base), "h long, _id long, at long").repartition("h").sortWithinPartitions("h")
     hits = found.mapInArrow(_only_repeated, "_id long, _m int, at int").groupBy("_id", "_m").agg(F.collect_list("at").alias("hits"))
     hits = stash(hits, "anchors")
     both = _same(_narrow(rows, hits), hits, "inner")
     wide = both.mapInArrow(_emit_windows(base), "h long, _id long, at long, w binary").repartition("h")
-    flat = wide.mapInArrow(_unpack, "h long, w long, _id long, at long")
-    ordered = flat.sortWithinPartitions("h", "w", F.col("_id").asc_nulls_last(), "at")
-    gone = ordered.mapInArrow(_later, "_id long, _m int, starts binary")
-    return stash(gone.groupBy("_id", "_m").agg(F.collect_list("starts").alias("starts")), "repeats")
+    return wide.mapInArrow(_unpack, "h long, w long, _id long, at long")
 
 
 def _keyed(df: DataFrame, id_col: str, text: str) -> DataFrame:

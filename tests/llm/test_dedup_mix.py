@@ -140,6 +140,30 @@ def test_substring(spark, base):
         assert r.n_removed or r.kept_text == texts[i]
 
 
+@pytest.mark.parametrize("base", [2, 10])
+def test_repeated_spans_double_until_none_repeat(spark, base):
+    rnd = random.Random(base)
+    words = lambda n: [f"v{rnd.randrange(10**6)}" for _ in range(n)]
+    long, short = words(170), words(25)
+    texts = [words(3) + long, words(8) + long[:90] + words(2), long[50:], short + words(5) + short, words(60), [], ["z"] * 50]
+    df = spark.createDataFrame([(i, " ".join(t) or None, "s", 1, "c") for i, t in enumerate(texts)], SCHEMA)
+    want, width = {}, 2 * base
+    while True:
+        at = defaultdict(list)
+        for i, t in enumerate(texts):
+            for k in range(len(t) - width + 1):
+                at[tuple(t[k : k + width])].append((i, k))
+        repeats = {p for places in at.values() if len(places) > 1 for p in places}
+        if not repeats:
+            break
+        want |= dict.fromkeys(repeats, width)
+        width *= 2
+    assert width >= 128
+    got = substring.repeated_spans(df, base=base).collect()
+    assert len(got) == len(want) and {(r._id, r["at"]): r.width for r in got} == want
+    assert substring.repeated_spans(df.filter("doc_id = 4"), base=base).count() == 0
+
+
 def test_substring_equal_ids(spark):
     t = " ".join(f"w{i}" for i in range(30))
     df = spark.createDataFrame([(5, t, "s", 1, "c"), (5, t, "s", 1, "c"), (None, t, "s", 1, "c")], SCHEMA)
