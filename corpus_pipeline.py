@@ -43,7 +43,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality rules", quality), ("near duplicates", near_duplicates), ("substring dedup", repeats), ("mixing", mix), ("byte-level BPE", encode)]
 
-#: Pivotal rounding and BPE are not expressible in SQL; tests compare with brute force.
+#: Pivotal rounding and BPE are not expressible in SQL; a test compares each stage and run() with plain Python.
 ORACLE_SQL = None
 
 

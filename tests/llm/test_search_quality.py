@@ -1,12 +1,19 @@
 """BM25 search against brute force; the classifier's held-out accuracy; the pipeline's stages."""
 
+import base64
+import hashlib
 import math
 import random
+import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
+import tiktoken
+from test_dedup_mix import brute_components, brute_substring, brute_targets
+from test_tokens import brute_repeats
 
 import corpus_pipeline
 from tessera.llm import bm25, factorisation, repetition
@@ -122,3 +129,79 @@ def test_pipeline(spark):
         if s["n_words"] >= 10 and not any(s["covered_chars"]) and not s["dup_line_chars"]:
             assert r.doc_id in kept
     assert all(r.n_chars == len(r.text) for r in frames[3].collect())
+
+
+def planted():
+    """Texts with exact and near copies, shared passages, repetitions, and neither words nor text."""
+    rnd = random.Random(5)
+    words = lambda n: [f"{rnd.choice('abcdefghij')}{rnd.randrange(10**4):04}" for _ in range(n)]
+    texts = [words(rnd.randint(30, 120)) for _ in range(40)]
+    for i in (0, 1, 2):  # exact copies, copies over and under a similarity of 0.8
+        texts += [texts[i], list(texts[i])]
+        for n in (1, 9):
+            near = list(texts[i])
+            for k in range(n):
+                near[k * len(near) // n] = "changed"
+            texts.append(near)
+    passage, said = words(45), words(22)
+    texts += [words(20) + passage + words(k) for k in (5, 30, 60)] + [words(12) + passage[8:33] + words(50), passage[:24]]
+    texts += [words(206) + said + said, words(260) + said + said, words(90) + said + said, words(9), words(10)]
+    line = words(9)
+    texts += [[*line, "\n", *words(80), "\n", *line], [*line, "\n", *line, "\n", *line, *words(30)], ["same"] * 60]
+    texts = [re.sub(" ?\n ?", "\n", " ".join(t)) for t in texts] + ["", " \n ", None]
+    rnd.shuffle(texts)
+    return [(3 * i, t, ["web", "books", "code", None][i % 4], len(t or "")) for i, t in enumerate(texts)]
+
+
+def plainly_clean(t):
+    words = [w.decode() for w in (t or "").encode().split()]
+    lines = [x for x in (t or "").split("\n") if x.strip()]
+    again = [x for k, x in enumerate(lines) if x in lines[:k]]
+    chars = sum(map(len, words))
+    if len(words) < 10 or 100 * len(brute_repeats(words, 5)) > 20 * len(words) or 100 * sum(map(len, again)) > 30 * chars:
+        return False
+    covered = {n: sum(len(words[k]) for k in brute_repeats(words, n)) for n in (5, 7, 10)}
+    return all(covered[n] < 150 or 100 * covered[n] <= most * chars for n, most in ((5, 20), (7, 18), (10, 16)))
+
+
+def test_pipeline_against_plain_python(spark, tmp_path):
+    schema = "doc_id long, text string, source string, n_chars long"
+    spark.createDataFrame(planted(), schema).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    frames = [spark.read.parquet(str(tmp_path / "documents.parquet"))]
+    for _, stage in corpus_pipeline.STAGES:
+        frames.append(stage(spark, frames[-1], str(tmp_path)).cache())
+    got = [sorted(map(tuple, f.select(*frames[0].columns).collect()), key=lambda r: r[0]) for f in frames[1:5]]
+
+    want = [r for r in planted() if plainly_clean(r[1])]
+    assert got[0] == want and 40 < len(want) < len(planted()) - 5
+    root, _ = brute_components([r[1] for r in want], 5, 80)
+    want = [r for k, r in enumerate(want) if root[k] == k]
+    assert got[1] == want and len(got[0]) - len(want) == 9
+    gone = brute_substring([(r[0], r[1].encode().split()) for r in want], 20)
+    left = []
+    for i, t, source, n in want:
+        parts = re.findall(r"\S+\s*", t)
+        kept = "".join(x for k, x in enumerate(parts) if k not in gone[i])
+        if kept:
+            left.append((i, kept, source, len(kept)))
+    assert got[2] == left and len(left) == len(want) - 1 and sum(map(bool, gone.values())) >= 4
+
+    sizes, taken, biggest = defaultdict(int), defaultdict(int), defaultdict(int)
+    for _, t, source, _ in left:
+        sizes[source] += len(t.split())
+        biggest[source] = max(biggest[source], len(t.split()))
+    for _, t, source, _ in got[3]:
+        taken[source] += len(t.split())
+    copies = Counter(got[3])
+    assert set(copies) <= set(left) and max(copies.values()) == 2
+    assert all(abs(taken[s] - aim) <= biggest[s] for s, aim in brute_targets(sizes).items())
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    tokens = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    ids = [(i, tokens.encode_ordinary(t), t) for i, t, _, _ in got[3]]
+    coded = sorted((i, len(x), sha(",".join(map(str, x)).encode()), sha(t.encode())) for i, x, t in ids)
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    for out in (frames[5], corpus_pipeline.run(spark, str(tmp_path))):
+        assert sorted(map(tuple, out.select(*names).collect())) == coded
