@@ -7,7 +7,8 @@ length are global, so scores of shards compare and the merge of their top k is e
 A search is block-max WAND over aligned blocks: for each query the upper bounds of its terms are added
 up by block, blocks are taken from the greatest bound on, and the search ends at the first block whose
 bound is below the k-th score so far (the pivot test, on whole blocks). Within the blocks taken, rows
-are scored exactly. Terms with few postings seed the threshold.
+are scored exactly. Terms with few postings seed the threshold: the k-th greatest of the scores by these
+terms alone is at most the k-th score, so blocks bounded below it are not taken.
 
 Defined results: words are maximal runs of bytes other than ASCII white space, A-Z in lower case; a
 query counts each distinct word as often as it occurs; a null or empty text has no words, matches
@@ -81,6 +82,19 @@ class Shard:
         self.block_start = np.searchsorted(edge, self.start)
         self.edge = np.append(edge, len(self.row))  # of the postings of each (term, block)
 
+    def seed(self, at: np.ndarray, idf: np.ndarray, k: int) -> float:
+        """A lower bound of the k-th score from the rarest of the terms `at`, whose postings are 4 * k at
+        least; 0 if they have fewer than k rows."""
+        n = self.start[at + 1] - self.start[at]
+        rare = np.argsort(n, kind="stable")
+        rare = rare[: 1 + np.searchsorted(np.cumsum(n[rare]), 4 * k)]
+        own, n = _ranges(self.start[at[rare]], self.start[at[rare] + 1])
+        rows, back = np.unique(self.row[own], return_inverse=True)
+        if len(rows) < k:
+            return 0.0
+        score = np.bincount(back, np.repeat(idf[rare], n) * self.weight[own])
+        return float(np.partition(score, len(score) - k)[len(score) - k])
+
     def top(self, query: np.ndarray, idf: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The k best (score, row), exactly; query: term hashes, idf: their weights in this query."""
         at = np.searchsorted(self.terms, query)
@@ -93,7 +107,7 @@ class Shard:
         block, w = self.block[entry], np.repeat(idf, n)
         bounds = np.bincount(block, w * self.most[entry], len(self.length) // BLOCK + 1)
         ranked = np.argsort(-bounds, kind="stable")
-        ranked = ranked[bounds[ranked] > 0]
+        ranked = ranked[(bounds[ranked] > 0) & (bounds[ranked] * (1 + 1e-9) >= self.seed(at, idf, k))]
         best: list[tuple[float, int]] = []
         step, done = max(4, k // 8), 0
         while done < len(ranked):

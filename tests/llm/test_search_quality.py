@@ -56,6 +56,28 @@ def test_bm25(spark, shard, per_pass):
     assert bm25.search(df.limit(0), df, id_col="id").count() == 0
 
 
+def test_bm25_rare_terms_seed_the_threshold():
+    rnd = random.Random(2)
+    texts = [" ".join(f"w{int(rnd.paretovariate(0.6)) % 900}" for _ in range(rnd.choice([1, 30, 90]))).encode() for _ in range(700)]
+    s = bm25.Shard(list(range(len(texts))), texts)
+    s.weigh(float(s.length.mean()))
+    seeded = 0
+    for q in range(0, len(texts), 7):
+        t, n, _ = bm25.terms(texts[q])
+        at = np.searchsorted(s.terms, t)
+        idf = n * np.log1p((len(texts) + 0.5) / (np.diff(s.start)[at] + 0.5))
+        score = np.zeros(len(texts))
+        for a, w in zip(at, idf):
+            own = slice(s.start[a], s.start[a + 1])
+            score[s.row[own]] += w * s.weight[own]
+        want = sorted((-round(x, 9), i) for i, x in enumerate(score) if x)[:5]
+        assert [i for _, i in s.top(t, idf, 5)] == [i for _, i in want]
+        low = s.seed(at, idf, 5)
+        assert low <= (-want[4][0] + 1e-8 if len(want) == 5 else 0)
+        seeded += low > 0
+    assert seeded > 50
+
+
 def test_machine_interactions_in_linear_time():
     """The sum-of-squares identity equals the sum over pairs."""
     rng = np.random.default_rng(0)
