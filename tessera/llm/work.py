@@ -2,22 +2,31 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import re
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Most ids that are broadcast (8 bytes each); beyond it the same join is shuffled.
-BROADCAST_IDS = 2_000_000
+#: Most ids that are broadcast, some 100 bytes each in a join's table; beyond it the same join is shuffled.
+BROADCAST_IDS = 500_000
+#: Bytes of a Parquet row group of intermediates: a writer holds one in memory.
+ROW_GROUP = 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a new local one only where that is unset (tests)."""
+    """The folder of spark.checkpoint.dir; a new local one only where that is unset and the master is
+    local (tests), as executors elsewhere would not see it."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.conf.get("tessera.shared.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("tessera.shared.dir", found)
     return found.rstrip("/")
@@ -39,7 +48,7 @@ def stash(df: DataFrame, what: str, per_file: int = 0) -> DataFrame:
     executor costs no recomputation of what stands before. per_file: most rows in a file, for large rows."""
     spark = df.sparkSession
     path = new_path(spark, what)
-    df.write.option("compression", "zstd").option("maxRecordsPerFile", per_file).parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).option("maxRecordsPerFile", per_file).parquet(path)
     drop_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -47,3 +56,20 @@ def stash(df: DataFrame, what: str, per_file: int = 0) -> DataFrame:
 def sized(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
     """Marks a stored frame for broadcast if it has at most `most` rows; else leaves it to the planner."""
     return F.broadcast(ids) if ids.count() <= most else ids
+
+
+@functools.lru_cache(1)
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # only the GNU C library has it
+        return lambda _: None
+
+
+def tidy(*memos: dict) -> None:
+    """Empties what a worker remembers and returns freed memory to the system: workers are reused, and a
+    later stage would otherwise run beside what an earlier one has left."""
+    for memo in memos:
+        memo.clear()
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
