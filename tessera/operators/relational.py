@@ -1,75 +1,161 @@
 """Relational operators that need more than one built-in call.
 
 All are compositions of DataFrame operations, so pushdown, pruning and adaptive
-re-planning stay with Catalyst.
+re-planning stay with Catalyst. Columns that an operator adds must be new names; those it needs inside
+cannot clash with the frames' own.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def top_k_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
-    """The first k rows of each group; Spark turns the filter into a WindowGroupLimit, so a hot
-    group is cut to k rows before the shuffle."""
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _new(name: str, *frames: DataFrame) -> str:
+    """name, with as many underscores before it as make it new in all frames."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def _must_be_new(names: Sequence[str], *frames: DataFrame) -> None:
+    taken = {c.lower() for df in frames for c in df.columns}
+    if clash := [n for n in names if n.lower() in taken]:
+        raise ValueError(f"columns {clash} are there already")
+
+
+def top_k_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, out: str = "rn") -> DataFrame:
+    """The first k rows of each group, with their number in `out`; Spark turns the filter into a
+    WindowGroupLimit, so a hot group is cut to k rows before the shuffle. Null keys are a group."""
+    _must_be_new([out], df)
     w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("rn", F.row_number().over(w).cast("long")).filter(F.col("rn") <= k)
+    return df.withColumn(out, F.row_number().over(w).cast("long")).filter(F.col(out) <= k)
 
 
 def latest_by(df: DataFrame, by: Sequence[str], order: Column) -> DataFrame:
-    """One row per key, the one with the greatest `order`: max_by combines map-side, so it needs
-    no sort and no window over a hot key."""
+    """One row per key, the one with the greatest `order`, null last. max_by combines before the shuffle (in a
+    sort-based aggregate, as it holds a row), so a hot key is a row a task, not a window."""
     rest = [c for c in df.columns if c not in by]
-    best = df.groupBy(*by).agg(F.max_by(F.struct(*rest), order).alias("_best"))
-    return best.select(*by, "_best.*")
+    held = _new("_best", df)
+    rank = F.struct(order.isNotNull(), order)
+    best = df.groupBy(*map(_quoted, by)).agg(F.max_by(F.struct(*map(_quoted, rest)), rank).alias(held))
+    return best.select(*map(_quoted, by), *[F.col(held).getField(c).alias(c) for c in rest]).select(*map(_quoted, df.columns))
 
 
 def asof_join(
-    left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str, take: Sequence[str]
+    left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str, take: Sequence[str], bucket: Column | None = None
 ) -> DataFrame:
     """Backward as-of join: each left row gets the columns `take` of the last right row with the
     same key and right_on <= left_on (null if there is none).
 
-    The two sides are unioned and one window carries the last right row forward: a single shuffle
-    on the key and no range join. Equal times match; among right rows of one time the greatest
-    `take` wins. Left rows with a null key or time get nulls.
+    The two sides are unioned and a window carries the last right row forward: no range join. Equal times
+    match; among right rows of one time the greatest `take` wins. Left rows with a null key or time get
+    nulls. `bucket`, a rising function of the time column `_t` such as F.date_trunc("day", "_t"), splits a
+    key's rows: windows are then by key and bucket, and what a bucket hands on is joined from one row a bucket.
     """
-    lcols = list(left.columns)
-    l = left.select(*by, F.col(left_on).alias("_t"), F.lit(1).alias("_side"), F.struct(*lcols).alias("_l"))
-    payload = F.struct(*take)
-    r = right.groupBy(*by, F.col(right_on).alias("_t")).agg(F.max(payload).alias("_r"))
-    both = l.unionByName(r.withColumn("_side", F.lit(0)), allowMissingColumns=True)
-    w = Window.partitionBy(*by).orderBy(F.col("_t").asc_nulls_first(), "_side").rowsBetween(Window.unboundedPreceding, 0)
+    _must_be_new(take, left)
+    own = F.struct(*map(_quoted, left.columns)).alias("_l")
+    l = left.select(*[_quoted(c).alias(f"_k{i}") for i, c in enumerate(by)], _quoted(left_on).alias("_t"), F.lit(1).alias("_side"), own)
+    keys = [f"_k{i}" for i in range(len(by))]
+    r = right.select(*[_quoted(c).alias(k) for k, c in zip(keys, by)], _quoted(right_on).alias("_t"), F.struct(*[_quoted(c).alias(f"v{i}") for i, c in enumerate(take)]).alias("_r"))
+    r = r.groupBy(*keys, "_t").agg(F.max("_r").alias("_r")).withColumn("_side", F.lit(0))
+    both = l.unionByName(r, allowMissingColumns=True).withColumn("_b", F.lit(0) if bucket is None else bucket)
+    order = [F.col("_t").asc_nulls_first(), F.col("_side")]
+    w = Window.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     carried = both.withColumn("_r", F.last("_r", ignorenulls=True).over(w)).filter("_side = 1")
+    if bucket is not None:
+        ends = r.withColumn("_b", bucket).groupBy(*keys, "_b").agg(F.max_by("_r", "_t").alias("_e"))
+        marks = ends.unionByName(both.filter("_side = 1").select(*keys, "_b").distinct(), allowMissingColumns=True).groupBy(*keys, "_b").agg(F.max("_e").alias("_e"))
+        before = Window.partitionBy(*keys).orderBy(F.col("_b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+        marks = marks.select(*[F.col(k).alias(f"{k}m") for k in keys], F.col("_b").alias("_bm"), F.last("_e", ignorenulls=True).over(before).alias("_before"))
+        same = F.col("_b").eqNullSafe(F.col("_bm"))
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"{k}m"))
+        carried = carried.join(marks, same, "left").withColumn("_r", F.coalesce("_r", "_before"))
     known = F.col("_t").isNotNull()
-    for c in by:
-        known = known & F.col(c).isNotNull()
-    return carried.select("_l.*", *[F.when(known, F.col(f"_r.{c}")).alias(c) for c in take])
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    return carried.select("_l.*", *[F.when(known, F.col(f"_r.v{i}")).alias(c) for i, c in enumerate(take)])
+
+
+#: Ratio of the widths of a range join's levels; the level of spans without an end.
+STEP, ENDLESS = 8, -1
 
 
 def range_join(left: DataFrame, right: DataFrame, by: Sequence[str], point: str, low: str, high: str, width: float) -> DataFrame:
-    """Rows with low <= point < high per key: both sides are cut to buckets of `width`, so the join
-    is an equi-join on (key, bucket) that adaptive execution can split, not a nested loop."""
-    buckets = F.sequence(F.floor(F.col(low) / width), F.floor(F.col(high) / width))
-    r = right.filter(F.col(high) > F.col(low)).withColumn("_b", F.explode(buckets))
-    l = left.withColumn("_b", F.floor(F.col(point) / width))
-    return l.join(r, [*by, "_b"]).filter((F.col(point) >= F.col(low)) & (F.col(point) < F.col(high))).drop("_b")
-
-
-def sessionize(df: DataFrame, by: Sequence[str], ts: str, gap_seconds: int) -> DataFrame:
-    """Adds session, counted from 0 per key; a new one starts after a gap of more than gap_seconds."""
-    w = Window.partitionBy(*by).orderBy(ts)
-    gap = F.unix_timestamp(F.col(ts).cast("timestamp")) - F.unix_timestamp(F.lag(ts).over(w).cast("timestamp"))
-    started = df.withColumn("_new", F.when(gap > gap_seconds, 1).otherwise(0))
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    return started.withColumn("session", F.sum("_new").over(run).cast("long")).drop("_new")
-
-
-def salted_sum(df: DataFrame, by: Sequence[str], value: str, out: str, salts: int = 16) -> DataFrame:
-    """A distinct-aware sum over a skewed key in two steps: (key, salt), then key."""
-    part = df.withColumn("_s", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-    step = part.groupBy(*by, "_s").agg(F.sum(value).alias("_v"))
-    return step.groupBy(*by).agg(F.sum("_v").alias(out))
+    """Rows with low <= point < high per key: an equi-join on (key, level, bucket) that adaptive execution
+    can split, not a nested loop.
+
+    A span belongs to the first level whose buckets (width, STEP * width, ...) are as wide as itself, so it
+    lies in two of them at most; points go to each level that has spans, some twenty at most. Spans that
+    are empty or have a null or NaN end match nothing; those with an infinite end meet all points of their key.
+    """
+    level, at = _new("_level", left, right), _new("_at", left, right)
+    lo, hi = _quoted(low).cast("double"), _quoted(high).cast("double")
+    spans = right.filter((_quoted(high) > _quoted(low)) & ~F.isnan(hi) & ~F.isnan(lo))
+    size = F.greatest(hi - lo, F.lit(float(width)))
+    which = F.ceil(F.log(size / width) / math.log(STEP) - 1e-9).cast("int")
+    spans = spans.withColumn(level, F.when(size < float("inf"), which).otherwise(ENDLESS))
+    levels = sorted(r[0] for r in spans.select(level).distinct().collect())
+    wide = lambda x: F.floor(x / (F.lit(float(width)) * F.pow(F.lit(float(STEP)), _quoted(level)))).cast("long")
+    spans = spans.withColumn(at, F.explode(F.when(F.col(level) == ENDLESS, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(wide(lo), wide(hi)))))
+    points = left.withColumn(level, F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>")))
+    points = points.withColumn(at, F.when(F.col(level) == ENDLESS, F.lit(0).cast("long")).otherwise(wide(_quoted(point).cast("double"))))
+    return points.join(spans, [*by, level, at]).filter((_quoted(point) >= _quoted(low)) & (_quoted(point) < _quoted(high))).drop(level, at)
+
+
+def sessionize(df: DataFrame, by: Sequence[str], ts: str, gap_seconds: int, out: str = "session", bucket: Column | None = None) -> DataFrame:
+    """Adds `out`, counted from 0 per key; a new session starts after a gap of more than gap_seconds. Rows
+    without a time come first and belong to session 0.
+
+    `bucket`, a rising function of the time column such as F.date_trunc("day", ts), splits a key's rows:
+    windows are then by key and bucket, and one row a bucket hands on the last time and the count.
+    """
+    _must_be_new([out], df)
+    at, new, part = _new("_at", df), _new("_new", df), _new("_part", df)
+    rows = df.withColumn(at, F.unix_timestamp(_quoted(ts).cast("timestamp"))).withColumn(part, F.lit(0) if bucket is None else bucket)
+    keys = [*map(_quoted, by)]
+    w = Window.partitionBy(*keys, F.col(part)).orderBy(F.col(at).asc_nulls_first())
+    started = rows.withColumn(new, F.when(F.col(at) - F.lag(at).over(w) > gap_seconds, 1).otherwise(0))
+    run = started.withColumn(out, F.sum(new).over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
+    if bucket is None:
+        return run.drop(at, new, part)
+    named = [_quoted(c).alias(f"_k{i}") for i, c in enumerate(by)]
+    ends = started.groupBy(*named, F.col(part).alias("_p")).agg(F.min(at).alias("_lo"), F.max(at).alias("_hi"), F.sum(new).alias("_n"))
+    order = Window.partitionBy(*[f"_k{i}" for i in range(len(by))]).orderBy(F.col("_p").asc_nulls_first())
+    # A bucket without a time (the null one) has no last time to hand on.
+    first = F.when(F.col("_lo") - F.lag("_hi").over(order) > gap_seconds, 1).otherwise(0)
+    ends = ends.withColumn("_f", first)
+    base = F.coalesce(F.sum(F.col("_n") + F.col("_f")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("_f")
+    ends = ends.select(*[f"_k{i}" for i in range(len(by))], "_p", base.alias("_base"))
+    same = F.col("r." + part).eqNullSafe(F.col("e._p"))
+    for i, c in enumerate(by):
+        same = same & F.col(f"r.`{c}`").eqNullSafe(F.col(f"e._k{i}"))
+    joined = run.alias("r").join(ends.alias("e"), same)
+    return joined.select(*[F.col(f"r.`{c}`") for c in df.columns], (F.col(f"r.`{out}`") + F.col("e._base")).cast("long").alias(out))
+
+
+def salted_join(left: DataFrame, right: DataFrame, by: Sequence[str], hot: int = 1_000_000, salts: int = 32) -> DataFrame:
+    """Inner equi-join for keys that hold a great share of the left rows, where adaptive splitting does not
+    reach (the join feeds an aggregate on the same key, or its left side is one).
+
+    Keys with more than `hot` left rows, at most rows / hot of them, are counted first. Their left rows are
+    dealt to `salts` parts by a hash, their right rows copied to each part; all other rows have part 0, so
+    nothing else is copied. Null keys match nothing.
+    """
+    salt, flag = _new("_salt", left, right), _new("_hot", left, right)
+    many = left.groupBy(*map(_quoted, by)).count().filter(F.col("count") > hot).select(*map(_quoted, by), F.lit(True).alias(flag))
+    mark = lambda df: df.join(many, list(by), "left")
+    dealt = F.when(F.col(flag), F.pmod(F.xxhash64(*map(_quoted, left.columns)), F.lit(salts)).cast("int")).otherwise(0)
+    copied = F.when(F.col(flag), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    l = mark(left).withColumn(salt, dealt).drop(flag)
+    r = mark(right).withColumn(salt, F.explode(copied)).drop(flag)
+    return l.join(r, [*by, salt]).drop(salt)

@@ -10,10 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.scalar import dot, host
-from tessera.operators.relational import asof_join, latest_by, range_join, salted_sum, sessionize, top_k_per_group
+from tessera.functions.scalar import cosine, dot, host, safe_div
+from tessera.operators.relational import asof_join, latest_by, range_join, salted_join, sessionize, top_k_per_group
 from tessera.sources.tables import Tables
-from tessera.streaming.windows import session_counts, tumbling_counts
+from tessera.streaming.windows import first_seen, interval_join, session_counts, tumbling_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -93,9 +93,12 @@ for _how, _word in (("left_semi", "EXISTS"), ("left_anti", "NOT EXISTS")):
 
 def _outer(how: str):
     def f(t):
-        a = t.customer.filter("c_acctbal < 0").select(F.col("c_nationkey").alias("k"), "c_custkey")
-        b = t.supplier.filter("s_acctbal > 5000").select(F.col("s_nationkey").alias("k2"), "s_suppkey")
-        return a.join(b, a.k == b.k2, how).groupBy("k", "k2").agg(F.count("c_custkey").alias("nc"), F.count("s_suppkey").alias("ns"))
+        # Both sides are counted by key first, so the join has a row a key, not the pairs of each key's rows.
+        a = t.customer.filter("c_acctbal < 0").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("a"), F.count("c_custkey").alias("ac"))
+        b = t.supplier.filter("s_acctbal > 5000").groupBy(F.col("s_nationkey").alias("k2")).agg(F.count("*").alias("b"), F.count("s_suppkey").alias("bc"))
+        nc = F.coalesce("ac", F.lit(0)) * F.coalesce("b", F.lit(1))
+        ns = F.coalesce("bc", F.lit(0)) * F.coalesce("a", F.lit(1))
+        return a.join(b, a.k == b.k2, how).groupBy("k", "k2").agg(F.sum(nc).alias("nc"), F.sum(ns).alias("ns"))
 
     return f
 
@@ -146,11 +149,13 @@ def agg_mixed(t):
     )
 
 
-@query("""SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY 1""")
-def agg_salted(t):
-    """Two-step sum that a hot key does not slow."""
-    rows = t.events.select("event_id", "event_type", money("value").alias("v"))
-    return salted_sum(rows, ["event_type"], "v", "total").select("event_type", dbl(F.col("total")).alias("total"))
+@query("""SELECT l_returnflag, n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty FROM lineitem
+  JOIN (SELECT l_returnflag, count(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY 1) USING (l_returnflag) GROUP BY 1, 2""")
+def join_salted(t):
+    """A join on a key of three values, whose rows are dealt to several tasks each."""
+    kinds = t.lineitem.groupBy("l_returnflag").agg(F.countDistinct("l_suppkey").alias("n"))
+    rows = t.lineitem.select("l_returnflag", "l_orderkey", "l_quantity")
+    return salted_join(rows, kinds, ["l_returnflag"], hot=1000, salts=8).groupBy("l_returnflag", "n").agg(dbl(F.sum(money("l_quantity"))).alias("qty"))
 
 
 @query("""SELECT * FROM (SELECT o_custkey, o_orderkey, o_totalprice,
@@ -217,14 +222,14 @@ def join_asof(t):
     """Each click with the user's last purchase so far."""
     clicks = t.events.filter("event_type = 'click'").select("event_id", "user_id", "ts")
     bought = t.events.filter("event_type = 'purchase'").select("user_id", F.col("ts").alias("bought"), F.col("event_id").alias("purchase_id"))
-    return asof_join(clicks, bought, ["user_id"], "ts", "bought", ["purchase_id"]).select("event_id", "purchase_id")
+    return asof_join(clicks, bought, ["user_id"], "ts", "bought", ["purchase_id"], F.date_trunc("week", "_t")).select("event_id", "purchase_id")
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_quantity, s_suppkey FROM lineitem JOIN supplier
-  ON l_suppkey = s_suppkey AND l_quantity >= s_nationkey AND l_quantity < s_nationkey + 5 WHERE l_linenumber = 1""")
+  ON l_suppkey = s_suppkey AND l_quantity >= s_nationkey AND l_quantity < s_nationkey + 5""")
 def join_range(t):
     spans = t.supplier.select(F.col("s_suppkey"), F.col("s_suppkey").alias("k"), F.col("s_nationkey").alias("lo"), (F.col("s_nationkey") + 5).alias("hi"))
-    rows = t.lineitem.filter("l_linenumber = 1").withColumn("k", F.col("l_suppkey"))
+    rows = t.lineitem.withColumn("k", F.col("l_suppkey"))
     return range_join(rows, spans, ["k"], "l_quantity", "lo", "hi", 8.0).select("l_orderkey", "l_linenumber", "l_quantity", "s_suppkey")
 
 
@@ -232,7 +237,7 @@ def join_range(t):
 s AS (SELECT user_id, CAST(sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session FROM g)
 SELECT user_id, session, count(*) AS n FROM s GROUP BY 1, 2""")
 def sessions(t):
-    return sessionize(t.events.select("user_id", "ts"), ["user_id"], "ts", 86400).groupBy("user_id", "session").agg(F.count("*").alias("n"))
+    return sessionize(t.events.select("user_id", "ts"), ["user_id"], "ts", 86400, bucket=F.date_trunc("week", "ts")).groupBy("user_id", "session").agg(F.count("*").alias("n"))
 
 
 @query("SELECT user_id, arg_max(event_id, event_id) AS event_id FROM events GROUP BY 1")
@@ -262,6 +267,22 @@ def vectors(t):
     return t.embeddings.groupBy("label").agg(F.count("*").alias("n"), F.round(F.sum(dot(F.col("embedding"), F.col("embedding"))), 3).alias("energy"))
 
 
+@query("""SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity
+FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""")
+def vectors_cosine(t):
+    """Cosine of each vector and the next, without a UDF."""
+    a = t.embeddings.select(F.col("vec_id").alias("a"), F.col("embedding").alias("x"))
+    b = t.embeddings.select(F.col("vec_id").alias("b"), F.col("embedding").alias("y"))
+    return a.join(b, F.col("b") == F.col("a") + 1).select("a", "b", F.round(cosine(F.col("x"), F.col("y")), 6).alias("similarity"))
+
+
+@query("""SELECT user_id, round(count(*) FILTER (event_type = 'purchase') / nullif(count(*) FILTER (event_type = 'click'), 0)::DOUBLE, 6) AS rate FROM events GROUP BY 1""")
+def ratios(t):
+    """A ratio that is null where its divisor is 0."""
+    times = lambda kind: F.count(F.when(F.col("event_type") == kind, 1))
+    return t.events.groupBy("user_id").agg(F.round(safe_div(times("purchase"), times("click")), 6).alias("rate"))
+
+
 @query("""SELECT lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/:?#]+)', 1)) AS host, count(*) AS n FROM pages GROUP BY 1""")
 def hosts(t):
     return t.pages.groupBy(host(F.col("url")).alias("host")).agg(F.count("*").alias("n"))
@@ -288,3 +309,18 @@ SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, k""")
 def stream_sessions(t):
     out = session_counts(t.events.select("ts", "user_id"), "ts", "6 hours", "1 hour", "user_id")
     return out.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
+
+
+@query("SELECT user_id, event_type FROM events GROUP BY ALL")
+def stream_first_seen(t):
+    """Streaming deduplication on a batch frame."""
+    return first_seen(t.events.select("ts", "user_id", "event_type"), "ts", "1 hour", "user_id", "event_type").select("user_id", "event_type")
+
+
+@query("""SELECT c.event_id AS click, p.event_id AS purchase FROM events c JOIN events p ON c.user_id = p.user_id
+  AND p.ts >= c.ts AND p.ts < c.ts + INTERVAL 2 HOUR WHERE c.event_type = 'click' AND p.event_type = 'purchase'""")
+def stream_interval_join(t):
+    """The stream-stream join on batch frames: purchases within two hours of a click."""
+    side = lambda kind: t.events.filter(F.col("event_type") == kind).select("event_id", "user_id", "ts")
+    out = interval_join(side("click"), side("purchase"), "ts", "1 hour", "2 hours", "user_id")
+    return out.select(F.col("a.event_id").alias("click"), F.col("b.event_id").alias("purchase"))

@@ -33,6 +33,24 @@ def session_counts(events: DataFrame, ts: str, gap: str, late: str, *keys: str)
     )
 
 
+def first_seen(events: DataFrame, ts: str, late: str, *keys: str) -> DataFrame:
+    """One row of each combination of keys. In a stream the state of a key goes when the watermark has passed
+    its row by `late`; a batch has no watermark, so there each combination comes once."""
+    timed = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+    return timed.dropDuplicatesWithinWatermark([*keys]) if events.isStreaming else timed.dropDuplicates([*keys])
+
+
+def interval_join(a: DataFrame, b: DataFrame, ts: str, late: str, within: str, *keys: str) -> DataFrame:
+    """Pairs of rows a, b (columns `a.*` and `b.*`) of equal keys where b comes at the time of a or less than
+    `within` later. Watermarks and the time range let a stream drop the rows that can no longer match.
+    Null keys and times match nothing."""
+    x, y = (d.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).alias(n) for d, n in ((a, "a"), (b, "b")))
+    on = (F.col(f"b.{ts}") >= F.col(f"a.{ts}")) & (F.col(f"b.{ts}") < F.col(f"a.{ts}") + F.expr(f"INTERVAL {within}"))
+    for k in keys:
+        on = on & (F.col(f"a.{k}") == F.col(f"b.{k}"))
+    return x.join(y, on)
+
+
 def run_to_end(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Drains what is there into Parquet, with exactly-once file commits."""
     q = df.writeStream.outputMode(mode).format("parquet").option("path", path).option("checkpointLocation", checkpoint)

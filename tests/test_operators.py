@@ -1,31 +1,146 @@
-"""Operators on small frames: nulls, ties, empty inputs; and a stream run to its end."""
+"""Operators on small frames: nulls, ties, empty inputs, clashing names; and streams run to their end."""
 
+import math
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators.relational import asof_join, latest_by, sessionize
-from tessera.streaming.windows import read_stream, run_to_end, tumbling_counts
+from tessera.functions.scalar import cosine, safe_div
+from tessera.operators.relational import asof_join, latest_by, range_join, salted_join, sessionize, top_k_per_group
+from tessera.streaming.windows import first_seen, interval_join, read_stream, run_to_end, session_counts, tumbling_counts
 
 
-def test_asof_ties_nulls_and_misses(spark):
-    l = spark.createDataFrame([("a", 5, 1), ("a", 1, 2), (None, 9, 3), ("b", None, 4)], "k string, t int, id int")
+@pytest.mark.parametrize("bucket", [False, True])
+def test_asof_ties_nulls_and_misses(spark, bucket):
+    bucket = F.floor(F.col("_t") / 2) if bucket else None
+    l = spark.createDataFrame([("a", 5, 1), ("a", 1, 2), (None, 9, 3), ("b", None, 4), ("a", 90, 5)], "k string, t int, id int")
     r = spark.createDataFrame([("a", 3, 10), ("a", 5, 11), ("a", 5, 12), (None, 1, 13), ("b", 1, 14)], "k string, t int, v int")
-    got = {x.id: x.v for x in asof_join(l, r, ["k"], "t", "t", ["v"]).collect()}
-    assert got == {1: 12, 2: None, 3: None, 4: None}
+    got = {x.id: x.v for x in asof_join(l, r, ["k"], "t", "t", ["v"], bucket).collect()}
+    assert got == {1: 12, 2: None, 3: None, 4: None, 5: 12}
+    assert asof_join(l, r.limit(0), ["k"], "t", "t", ["v"], bucket).filter("v IS NOT NULL").count() == 0
+    with pytest.raises(ValueError):
+        asof_join(l, r, ["k"], "t", "t", ["t"])
+
+
+def test_asof_buckets_agree_with_brute_force(spark):
+    rnd = random.Random(1)
+    l = [(rnd.choice("ab"), rnd.randrange(300), i) for i in range(150)]
+    r = [(rnd.choice("ab"), rnd.randrange(300), i) for i in range(40)]
+    left, right = spark.createDataFrame(l, "k string, _l int, _r int"), spark.createDataFrame(r, "k string, t int, v int")
+    want = {i: max(((t, v) for k2, t, v in r if k2 == k and t <= at), default=(0, None))[1] for k, at, i in l}
+    for width in (1, 30, 1000):
+        got = asof_join(left, right, ["k"], "_l", "t", ["v"], F.floor(F.col("_t") / width))
+        assert got.columns == ["k", "_l", "_r", "v"] and {x["_r"]: x["v"] for x in got.collect()} == want
+
+
+def test_latest_keeps_rows_without_an_order(spark):
+    df = spark.createDataFrame([("a", None, 7), ("b", 1, 2), ("b", 3, None), ("b", None, 9), (None, 1, 1)], "k string, t int, _best int")
+    got = {x.k: (x.t, x["_best"]) for x in latest_by(df, ["k"], F.col("t")).collect()}
+    assert got == {"a": (None, 7), "b": (3, None), None: (1, 1)}
+    assert latest_by(df.limit(0), ["k"], F.col("t")).count() == 0
+
+
+def test_top_k(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 5), (None, 2), (None, 3)], "k string, v int")
+    got = sorted((str(x.k), x.v, x.place) for x in top_k_per_group(df, ["k"], [F.desc("v")], 2, "place").collect())
+    assert got == [("None", 2, 2), ("None", 3, 1), ("a", 1, 2), ("a", 5, 1)]
+    with pytest.raises(ValueError):
+        top_k_per_group(df, ["k"], [F.desc("v")], 2, "V")
+
+
+@pytest.mark.parametrize("width", [0.5, 8.0, 1e6])
+def test_range_join_against_brute_force(spark, width):
+    rnd, inf = random.Random(2), math.inf
+    points = [(rnd.choice("ab"), rnd.choice([-3.0, 0.0, 1e11, -1e9]) + rnd.randrange(40), i) for i in range(120)] + [("a", None, 200), (None, 1.0, 201)]
+    spans = [(rnd.choice("ab"), s := float(rnd.randrange(-5, 40)), s + rnd.choice([0, 1, 2, 7, 100, 1e12]), i) for i in range(40)]
+    spans += [("a", -inf, 5.0, 50), ("b", 3.0, inf, 51), ("a", None, 5.0, 52), ("a", 5.0, 1.0, 53), (None, 0.0, 9.0, 54), ("a", math.nan, 4.0, 55), ("a", 0.0, math.nan, 56), ("b", -1e12, 1e12, 57)]
+    l, r = spark.createDataFrame(points, "k string, p double, _level int"), spark.createDataFrame(spans, "k string, lo double, hi double, _at int")
+    got = range_join(l, r, ["k"], "p", "lo", "hi", width)
+    assert got.columns == ["k", "p", "_level", "lo", "hi", "_at"]
+    want = sorted((i, j) for k, p, i in points for k2, lo, hi, j in spans if k is not None and k == k2 and None not in (p, lo) and lo <= p < hi)
+    assert sorted((x["_level"], x["_at"]) for x in got.collect()) == want and len(want) > 300
+    assert range_join(l, r.limit(0), ["k"], "p", "lo", "hi", width).count() == 0
+
+
+def test_salted_join(spark):
+    l = spark.createDataFrame([("hot", i) for i in range(200)] + [("cold", 1), (None, 2), ("alone", 3)], "k string, _salt int")
+    r = spark.createDataFrame([("hot", "x"), ("hot", "y"), ("cold", "z"), (None, "n")], "k string, _hot string")
+    want = sorted(map(str, l.join(r, "k").collect()))
+    for hot in (0, 10, 1000):
+        got = salted_join(l, r, ["k"], hot, 4)
+        assert got.columns == ["k", "_salt", "_hot"] and sorted(map(str, got.collect())) == want
+    assert salted_join(l.limit(0), r, ["k"]).count() == 0
+
+
+@pytest.mark.parametrize("bucket", [None, "hour"])
+def test_sessions_with_and_without_buckets(spark, bucket):
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["a", "b", None]), rnd.randrange(40_000), i) for i in range(300)] + [("a", None, 900)]
+    df = spark.createDataFrame(rows, "k string, s int, _new int").selectExpr("k", "timestamp_seconds(s) AS ts", "_new")
+    want, last = {}, {}
+    for k, s, i in sorted(rows, key=lambda x: (str(x[0]), x[1] is not None, x[1] or 0)):
+        n, before = last.get(k, (0, None))
+        n += before is not None and s is not None and s - before > 600
+        last[k] = (n, s)
+        want[i] = n
+    out = sessionize(df, ["k"], "ts", 600, "visit", bucket and F.date_trunc(bucket, "ts"))
+    assert out.columns == ["k", "ts", "_new", "visit"] and {x["_new"]: x["visit"] for x in out.collect()} == want
+    assert sessionize(df.limit(0), ["k"], "ts", 10, bucket=bucket and F.date_trunc(bucket, "ts")).count() == 0
+    with pytest.raises(ValueError):
+        sessionize(df, ["k"], "ts", 10, "_new")
 
 
-def test_empty_inputs(spark):
-    e = spark.createDataFrame([], "k string, t timestamp")
-    assert sessionize(e, ["k"], "t", 10).count() == 0
-    assert latest_by(e, ["k"], F.col("t")).count() == 0
+def test_scalar_functions(spark):
+    df = spark.createDataFrame([([3.0, 4.0], [4.0, 3.0]), ([0.0], [1.0]), (None, [1.0]), ([1.0, None], [1.0])], "a array<double>, b array<double>")
+    assert [x.c for x in df.select(cosine(F.col("a"), F.col("b")).alias("c")).collect()] == [0.96, None, None, 1.0]
+    pairs = spark.createDataFrame([(1.0, 2.0), (1.0, 0.0), (None, 1.0), (1.0, None)], "a double, b double")
+    assert [x.c for x in pairs.select(safe_div(F.col("a"), F.col("b")).alias("c")).collect()] == [0.5, None, None, None]
 
 
-def test_stream_equals_batch(spark, tmp_path):
-    sf = "/root/testdata/sf0.001"
-    batch = tumbling_counts(spark.read.parquet(f"{sf}/events.parquet"), "ts", "1 day", "1 hour", "event_type")
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def streamed(spark, tmp_path):
+    """The events of sf0.001 in time order as files of a stream; what a function of the stream wrote at its end."""
+    spark.read.parquet(f"{SF}/events.parquet").repartitionByRange(3, "ts").write.parquet(str(tmp_path / "events.parquet"))
+
+    def run(f):
+        out = f(read_stream(spark, str(tmp_path), "events", 1))
+        run_to_end(out, str(tmp_path / "out"), str(tmp_path / "cp"))
+        return spark.read.parquet(str(tmp_path / "out")).collect()
+
+    return run
+
+
+def test_tumbling_stream_equals_batch(spark, streamed):
+    batch = tumbling_counts(spark.read.parquet(f"{SF}/events.parquet"), "ts", "1 day", "1 hour", "event_type")
     want = {(r.start, r.event_type): r.n for r in batch.collect()}
-    src = tmp_path / "events.parquet"
-    spark.read.parquet(f"{sf}/events.parquet").repartition(2).write.parquet(str(src))
-    out = tumbling_counts(read_stream(spark, str(tmp_path), "events", 10), "ts", "1 day", "1 hour", "event_type")
-    run_to_end(out, str(tmp_path / "out"), str(tmp_path / "cp"))
-    got = {(r.start, r.event_type): r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    assert got and all(want[k] == n for k, n in got.items())
+    got = {(r.start, r.event_type): r.n for r in streamed(lambda s: tumbling_counts(s, "ts", "1 day", "30 days", "event_type"))}
+    assert all(want[k] == n for k, n in got.items())
+    got |= {(r.start, r.event_type): r.n for r in batch.collect() if (r.start, r.event_type) not in got}
+    assert got == want
+
+
+def test_session_stream_equals_batch(spark, streamed):
+    """Sessions that the watermark has closed come out as in the batch; a session is never given out twice."""
+    want = {(r.user_id, r.start): (r.until, r.n) for r in session_counts(spark.read.parquet(f"{SF}/events.parquet"), "ts", "6 hours", "1 hour", "user_id").collect()}
+    rows = streamed(lambda s: session_counts(s, "ts", "6 hours", "20 days", "user_id"))
+    got = {(r.user_id, r.start): (r.until, r.n) for r in rows}
+    assert len(got) == len(rows) > 0 and got.items() <= want.items()
+
+
+def test_first_seen_stream(spark, streamed):
+    rows = streamed(lambda s: first_seen(s, "ts", "60 days", "user_id", "event_type").select("user_id", "event_type"))
+    want = spark.read.parquet(f"{SF}/events.parquet").select("user_id", "event_type").distinct().count()
+    assert len(rows) == len(set(rows)) == want
+
+
+def test_interval_join_stream(spark, streamed):
+    def pairs(events):
+        side = lambda kind: events.filter(F.col("event_type") == kind).select("event_id", "user_id", "ts")
+        return interval_join(side("click"), side("view"), "ts", "60 days", "12 hours", "user_id").select(F.col("a.event_id").alias("x"), F.col("b.event_id").alias("y"))
+
+    want = sorted(map(tuple, pairs(spark.read.parquet(f"{SF}/events.parquet")).collect()))
+    assert sorted(map(tuple, streamed(pairs))) == want and want
