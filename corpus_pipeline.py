@@ -1,7 +1,11 @@
 """A corpus pipeline of five stages over the operators of tessera.llm.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each as Parquet in the
-shared folder and rereads it for the next. All but the last return the columns of documents.
+shared folder and rereads it for the next. All but the last return the columns of documents, whatever
+others there are besides doc_id, text, source and n_chars, and whatever they are called.
+
+Defined results, of all stages: no rows give no rows; a repeated row is a row of its own, and a null id
+or source is a value like others, last in order. Each stage says what becomes of a null, empty or very long text.
 """
 
 from __future__ import annotations
@@ -15,29 +19,33 @@ from tessera.llm.work import stash
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the repetition rules reject go."""
+    """Documents that the repetition rules reject go; a null or empty text has too few words. Long texts are
+    judged whole."""
     return repetition.keep_clean(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked at a similarity of 0.8 of five-word shingles stays."""
+    """One document of each group linked at a similarity of 0.8 of five-word shingles stays, one with the least
+    id; of a row that is there more than once one stays. Texts without words are in no group, and stay."""
     return parity.keep_one(docs, n=5, percent=80)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words of repeated 20-word windows go but for their first place; a document left without words goes."""
+    """Words of repeated 20-word windows go but for their first place; a document left without words goes, one
+    that had none before stays. n_chars is that of the text that is left."""
     rows = substring.dedup(docs).filter("n_removed < n_words OR n_words = 0")
     changed = {"text": F.col("kept_text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("row.n_chars"))}
     return rows.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources meet their target weights; a document comes as often as its copies."""
+    """Sources meet their target weights; a document comes as often as its copies, so one without words goes."""
     return mixing.apply(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and the digests of ids and decoded bytes."""
+    """Token ids of each document, and the digests of ids and decoded bytes; those of a null or empty text are of
+    nothing."""
     return bpe_shuffle.digest(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
