@@ -10,8 +10,8 @@ store that Spark writes will do, and a retried task leaves no half a file.
 
 Defined results: a null html is an empty payload, a null URL leaves out the target URI; a record that
 is not a well-formed response of HTTP gives a metadata record with the field "error" and no conversion
-record; repeated rows give equal records; an empty table gives no rows. Columns besides the record are
-carried unchanged in `row`.
+record; a charset that is unknown or cannot be decoded with is taken as UTF-8; repeated rows give equal
+records; an empty table gives no rows. Columns besides the record are carried unchanged in `row`.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ import hashlib
 import html as entities
 import re
 import uuid
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,11 +29,16 @@ from pyspark.sql import functions as F
 
 END = b"\r\n\r\n"
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
-_HIDDEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template)\b[^>]*>.*?</\1\s*>", re.S | re.I)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_BLOCK = re.compile(r"</?(?:p|div|br|h[1-6]|li|ul|ol|tr|td|th|table|article|section|header|footer|nav|main|aside|blockquote|pre|title|head|body|html|form|dl|dt|dd|hr)\b[^>]*>", re.I)
-_TAG = re.compile(r"</?[A-Za-z!][^>]*>")
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+_HIDDEN = {"script", "style", "noscript", "template"}
+#: Elements that begin a line of their own.
+_BLOCK = set(
+    "p div br h1 h2 h3 h4 h5 h6 li ul ol tr td th table article section header footer nav main aside "
+    "blockquote pre title head body html form dl dt dd hr".split()
+)
+_NAME = re.compile(r"/?([a-z]\w*)", re.A)
+_HREF = re.compile(r"\bhref\s*=\s*", re.A)
+_WORD = re.compile(r"[^\s>]+")
 _GAP = re.compile(r"[ \t\r\f\v\xa0]+")
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([A-Za-z0-9_.:-]+)", re.I)
 
@@ -69,22 +75,111 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[:n]
 
 
-def split_records(content: bytes):
-    """The records of an uncompressed WARC file."""
-    at = 0
-    while at < len(content):
-        head = content.index(END, at)
-        m = re.search(rb"(?im)^content-length:\s*(\d+)", content[at:head])
-        end = head + len(END) + int(m[1])
-        yield content[at:end]
-        at = end + len(END)
+def unpacked(content: bytes):
+    """The content of a file by pieces: gzip members unpacked one after another, else whole."""
+    if content[:2] != b"\x1f\x8b":
+        yield content
+        return
+    view, at, member = memoryview(content), 0, zlib.decompressobj(31)
+    while at < len(view):
+        if member.eof:
+            member = zlib.decompressobj(31)
+        piece = view[at : at + (1 << 20)]
+        yield member.decompress(piece)
+        at += len(piece) - len(member.unused_data)
+
+
+def split_records(pieces):
+    """The records of a WARC file that comes in pieces; one record at a time is held, and the piece it ends in."""
+    held = b""
+    for piece in pieces:
+        held, at = held + piece, 0
+        while (head := held.find(END, at)) >= 0:
+            m = re.search(rb"(?im)^content-length:\s*(\d+)", held[at:head])
+            if m is None:
+                raise ValueError("a record without a length")
+            end = head + len(END) + int(m[1])
+            if end + len(END) > len(held):
+                break
+            yield held[at:end]
+            at = end + len(END)
+        held = held[at:]
+    if held.strip():
+        raise ValueError("the file ends inside a record")
+
+
+class Page:
+    """Title, links and visible text of a page, in one scan that goes on from every tag's end.
+
+    A tag ends at the next ">"; a comment, a title and a hidden element at their end tags. What is not ended
+    is not such an element: a page without a ">" behind some place has no tags from there on. Each kind of
+    end is looked for once more only behind the last one found, and never again when there is none, so
+    the scan is linear in the page.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.low = page, page.translate(_LOWER)
+        self.title: str | None = None
+        self.links: list[str] = []
+        self.absent: set[str] = set()
+        out, at = [], 0
+        while (tag := self.low.find("<", at)) >= 0:
+            out.append(page[at:tag])
+            if self.low.startswith("<!--", tag) and (end := self.find("-->", tag + 4)) >= 0:
+                out.append(" ")
+                at = end + 3
+                continue
+            named = _NAME.match(self.low, tag + 1)
+            if not (named or self.low.startswith("!", tag + 1)) or (end := self.find(">", tag + 1)) < 0:
+                out.append("<")
+                at = tag + 1
+                continue
+            at, name, opens = end + 1, named[1] if named else "", self.low[tag + 1] != "/"
+            if opens and name in _HIDDEN and (after := self.close(name, at)):
+                out.append(" ")
+                at = after[1]
+                continue
+            if opens and name == "title" and self.title is None and (after := self.close(name, at)):
+                self.title = page[at : after[0]]
+            if opens and name == "a":
+                self.link(tag, end)
+            if name in _BLOCK:
+                out.append("\n")
+        out.append(page[at:])
+        lines = (_GAP.sub(" ", x).strip() for x in entities.unescape("".join(out)).split("\n"))
+        self.text = "\n".join(x for x in lines if x)
+
+    def find(self, what: str, at: int) -> int:
+        if what in self.absent:
+            return -1
+        if (found := self.low.find(what, at)) < 0:
+            self.absent.add(what)
+        return found
+
+    def close(self, name: str, at: int) -> tuple[int, int] | None:
+        """Start and end of the next end tag of that name."""
+        while (tag := self.find(f"</{name}", at)) >= 0:
+            at = tag + 2 + len(name)
+            while self.low[at : at + 1].isspace():
+                at += 1
+            if self.low[at : at + 1] == ">":
+                return tag, at + 1
+        self.absent.add(f"</{name}")
+        return None
+
+    def link(self, tag: int, end: int) -> None:
+        if (found := _HREF.search(self.low, tag + 2, end)) is None:
+            return
+        at, quote = found.end(), self.low[found.end() : found.end() + 1]
+        if quote in ("'", '"') and (close := self.find(quote, at + 1)) >= 0:
+            self.links.append(self.page[at + 1 : close])
+        elif word := _WORD.match(self.page, at):
+            self.links.append(word[0])
 
 
 def text_of(page: str) -> str:
     """Visible text: a line for each block, white space folded."""
-    page = _BLOCK.sub("\n", _HIDDEN.sub(" ", page))
-    lines = (_GAP.sub(" ", x).strip() for x in entities.unescape(_TAG.sub("", page)).split("\n"))
-    return "\n".join(x for x in lines if x)
+    return Page(page).text
 
 
 def response_of(url: str | None, page: str | None, date: str = "2024-01-01T00:00:00Z") -> bytes:
@@ -132,13 +227,13 @@ def derive(raw: bytes | None) -> list[dict]:
     charset = _CHARSET.search(next((v for k, v in headers if k.strip().lower() == "content-type"), "")) or _CHARSET.search(payload[:1024].decode("latin-1"))
     try:
         page = payload.decode(charset[1] if charset else "utf-8", "replace")
-    except LookupError:
+    except (LookupError, UnicodeError):
         page = payload.decode("utf-8", "replace")
-    title = _TITLE.search(page)
+    seen = Page(page)
     meta += [("http-status", status), *((f"http-header-{k.strip().lower()}", one_line(v)) for k, v in headers), ("payload-digest", found), ("payload-digest-agrees", str(stated in (None, found)).lower())]
-    meta += [("title", one_line(entities.unescape(_TAG.sub("", title[1]))))] if title else []
-    meta += [("outlink", one_line(entities.unescape(m[m.lastindex]))) for m in _LINK.finditer(page)]
-    text = text_of(page)
+    meta += [("title", one_line(text_of(seen.title)))] if seen.title is not None else []
+    meta += [("outlink", one_line(entities.unescape(x))) for x in seen.links]
+    text = seen.text
     return [
         made("metadata", "application/warc-fields", "".join(f"{k}: {v}\r\n" for k, v in meta).encode(), None),
         made("conversion", "text/plain; charset=utf-8", text.encode(), text),
@@ -167,14 +262,21 @@ def write(records: DataFrame, folder: str, column: str = "record") -> None:
     records.select(F.col(f"`{column}`").cast("string")).write.option("lineSep", END.decode()).text(folder)
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """(record) of every record in the uncompressed WARC files of a folder; a file must fit a task."""
+def read(spark: SparkSession, folder: str, files: str = "part-*") -> DataFrame:
+    """(record) of every record in the WARC files of a folder, plain or in gzip members; a task holds a file
+    as it is stored and one member of it at a time."""
 
     def run(batches):
         for batch in batches:
             for content in batch["content"]:
-                found = list(split_records(content.as_py()))
-                for k in range(0, len(found), 500):
-                    yield pa.RecordBatch.from_arrays([pa.array(found[k : k + 500], pa.binary())], ["record"])
-
-    return spark.read.format("binaryFile").load(f"{folder}/part-*").select("content").mapInArrow(run, "record binary")
+                found, size = [], 0
+                for one in split_records(unpacked(content.as_py())):
+                    found.append(one)
+                    size += len(one)
+                    if size > 8 << 20:
+                        yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["record"])
+                        found, size = [], 0
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["record"])
+
+    return spark.read.format("binaryFile").load(f"{folder}/{files}").select("content").mapInArrow(run, "record binary")

@@ -1,7 +1,11 @@
 """The derivative builder: links between records, digests, round trips and odd records."""
 
 import base64
+import gzip
 import hashlib
+import time
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -52,3 +56,38 @@ def test_tables_and_files(spark, tmp_path):
     back = sorted(bytes(r.record) for r in warc.read(spark, str(tmp_path / "w")).collect())
     assert back == sorted(bytes(r.record) for r in got.collect())
     assert warc.derivatives(raw.limit(0), "raw").count() == 0
+
+
+@pytest.mark.parametrize("charset", ["undefined", "idna", "hex", "no-such"])
+def test_charsets_that_do_not_decode(charset):
+    page = f'<meta charset="{charset}"><p>caf\u00e9</p>'
+    raw = warc.record([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:x>")], b"HTTP/1.0 200\r\nContent-Type: text/html" + warc.END + page.encode())
+    assert warc.derive(raw)[1]["text"] == "caf\u00e9"
+
+
+@pytest.mark.parametrize("piece", ["<!--", "<a ", "<script>", "<a href='x", '<a href="', "<title>", "</script ", "<p", "<script></scriptx", "&amp", "<a x='>"])
+def test_unclosed_tags_in_linear_time(piece):
+    began = time.process_time()
+    warc.derive(warc.response_of("http://a", piece * ((1 << 20) // len(piece))))
+    assert time.process_time() - began < 3
+
+
+def test_unclosed_elements_are_text():
+    page = warc.Page("a <b>bold</b> < 3 <!-- open <i>x</i> <script> y <title>t")
+    assert page.text == "a bold < 3 x y\nt" and page.title is None
+    page = warc.Page("<TITLE>\u0130 &lt;b&gt;</TITLE ><script>a</script ><A HREF=x>1</a><a name=n href = 'y z'>2</a><!-- <a href=no> -->")
+    assert page.title == "\u0130 &lt;b&gt;" and page.links == ["x", "y z"] and page.text.endswith("12")
+
+
+def test_gzip_members(spark, tmp_path):
+    records = [warc.response_of(f"http://a/{i}", "x" * i) for i in (1, 5000, 0)]
+    whole = b"".join(r + warc.END for r in records)
+    (tmp_path / "members.warc.gz").write_bytes(b"".join(gzip.compress(r + warc.END) for r in records))
+    (tmp_path / "one.warc.gz").write_bytes(gzip.compress(whole))
+    (tmp_path / "plain.warc").write_bytes(whole)
+    for name in ("members.warc.gz", "one.warc.gz", "plain.warc"):
+        got = [bytes(r.record) for r in warc.read(spark, str(tmp_path), name).collect()]
+        assert sorted(got) == sorted(records)
+    assert list(warc.split_records([whole[:50], whole[50:51], whole[51:]])) == records
+    with pytest.raises(ValueError):
+        list(warc.split_records([whole[:-30]]))
