@@ -4,15 +4,20 @@ A piece vocabulary with scored merges has this property: the encoding of every p
 token T, the only suffix in the vocabulary that is compatible with the last token of what stands
 before it (the two encode to themselves side by side). So a state needs no more than the longest
 suffix that can still begin a piece, and for each boundary inside it the last token and the number
-of tokens, relative to here. States and transitions are compiled when first met; a transition
-carries the emitted count, which is negative where tokens merge.
+of tokens, relative to here. A transition carries the emitted count, which is negative where tokens
+merge. The paths of all pieces are compiled when a vocabulary is loaded; transitions that only some
+text takes are added to the table when it does.
 
-A chunk of text is a map from entry state to (exit state, count). After its first break (a
-word mark behind another character, which no piece crosses) the map is constant, so it is stored as
-head text, count and exit state; maps compose associatively, and a prefix scan joins the chunks.
+Every text is cut into chunks, and a chunk is a map from entry state to (exit state, count). The state
+is known, whatever stood before, at a break (a word mark behind another character, which no piece
+crosses) and behind a character of no piece. From the first such place on the map is constant, so it is
+stored as the text before that place, a count and an exit state; the words in between are constant maps
+too, kept by word. Maps compose associatively: a scan in pairs joins the chunks of a text in memory that
+is linear in it, also where a text has no such place.
 
 Defined results: a null or empty text has 0 tokens and 0 bytes; repeated rows count alike, each on
-its own; very long texts are cut into chunks, never truncated; other columns are carried unchanged.
+its own; very long texts are cut into chunks, never truncated; an empty table gives no rows; other
+columns are carried unchanged.
 """
 
 from __future__ import annotations
@@ -25,13 +30,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.work import settle, tidy
+
 MARK = "▁"
 CHUNK = 1 << 15
-#: Words whose count a worker remembers before it starts afresh.
-REMEMBER = 500_000
-#: States kept compiled; beyond it a worker compiles afresh before its next text.
-STATES = 250_000
-_BREAK = re.compile(f"(?<=[^{MARK}]){MARK}")
+#: Words whose count a worker remembers before it starts afresh, and the longest of them.
+REMEMBER, LONGEST = 400_000, 64
+#: States kept compiled; beyond it a worker compiles afresh before its next chunk.
+STATES = 300_000
 
 
 class Transducer:
@@ -41,15 +47,31 @@ class Transducer:
         self.score = score
         self.prefixes = {p[:i] for p in score for i in range(1, len(p))}
         self.alphabet = {c for p in score for c in p}
-        self.breaks = not any(_BREAK.search(p) for p in score)
+        feed = "" if "\n" in self.alphabet else "\n"
+        if any(re.search(f"[^{MARK}]{MARK}", p) for p in score):  # pieces cross breaks: only line feeds part words
+            words = f"[^{feed}]+" if feed else r"(?s:.+)"
+        else:
+            words = f"{MARK}+[^{MARK}{feed}]*|[^{MARK}{feed}]+"
+        self.split = re.compile(f"{words}|{feed}" if feed else words).findall
         self.compatible = functools.lru_cache(1 << 18)(self._compatible)
-        self.marked, self.bare = _Words(self, MARK), _Words(self, "")
+        self.counts = _Counts(self)
         self.reset()
 
     def reset(self) -> None:
-        self.states: list = [("", ("",), (0,))]
-        self.index = {self.states[0]: 0}
+        """The start state and the paths of all pieces."""
+        self.states: list = [START]
+        self.index = {START: 0}
         self.next: list[dict[str, tuple[int, int]]] = [{}]
+        for piece in self.score:
+            self.run(0, piece)
+
+    def intern(self, key: tuple) -> int:
+        """The number of a state."""
+        if (to := self.index.get(key)) is None:
+            to = self.index[key] = len(self.states)
+            self.states.append(key)
+            self.next.append({})
+        return to
 
     def merge(self, text: str) -> list[str]:
         """The encoding of a short string by repeated best merge, leftmost first among equals."""
@@ -96,11 +118,7 @@ class Transducer:
             count = counts[j] + 1
             keep = next((k for k in range(len(window)) if window[k:] in self.prefixes), len(window))
             key = (window[keep:], (*ends, piece)[keep:], tuple(c - count for c in (*counts, count)[keep:]))
-            if (to := self.index.get(key)) is None:
-                to = self.index[key] = len(self.states)
-                self.states.append(key)
-                self.next.append({})
-            found = (to, count)
+            found = (self.intern(key), count)
         self.next[state][char] = found
         return found
 
@@ -117,37 +135,26 @@ class Transducer:
         """Tokens of a whole text: one mark goes before it, spaces are marks."""
         if not text:
             return 0
-        if len(self.states) > STATES:
-            self.reset()
-        if len(text) <= chunk:
-            return self._words(text)
         marked = MARK + text.replace(" ", MARK)
-        maps = [ChunkMap.of(self, marked[i : i + chunk]) for i in range(0, len(marked), chunk)]
-        return prefix_scan(self, maps)[-1].apply(self, 0)[1]
+        return scan(self, [ChunkMap.of(self, marked[i : i + chunk]) for i in range(0, len(marked), chunk)]).apply(self, START)[1]
 
-    def _words(self, text: str) -> int:
-        """The count word by word: no piece crosses a break, and a line feed in no piece is a break too."""
-        if not self.breaks or "\n" in self.alphabet or text[:1] == " " or "  " in text or MARK in text:
-            return self.run(0, MARK + text.replace(" ", MARK))[1]
-        lines = text.split("\n")
-        total = sum(map(self.marked.__getitem__, lines[0].split(" "))) + len(lines) - 1
-        for line in lines[1:]:
-            words = line.split(" ")
-            total += self.bare[words[0]] + sum(map(self.marked.__getitem__, words[1:]))
-        return total
 
+#: The state before a text: (window, last token at each of its boundaries, counts relative to its end).
+START = ("", ("",), (0,))
 
-class _Words(dict):
-    """Counts of words that stand behind a break, by a run from the start state."""
 
-    def __init__(self, machine: Transducer, before: str):
-        self.machine, self.before = machine, before
+class _Counts(dict):
+    """The constant maps of words that begin where the state is known: their counts."""
+
+    def __init__(self, machine: Transducer):
+        self.machine = machine
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= REMEMBER:
-            self.clear()
-        n = self.machine.run(0, self.before + word)[1]
-        self[word] = n
+        n = self.machine.run(0, word)[1]
+        if len(word) <= LONGEST:
+            if len(self) >= REMEMBER:
+                self.clear()
+            self[word] = n
         return n
 
 
@@ -156,25 +163,30 @@ class ChunkMap:
 
     __slots__ = ("head", "count", "exit", "closed")
 
-    def __init__(self, head: str, count: int = 0, exit: int = 0, closed: bool = False):
+    def __init__(self, head: str, count: int = 0, exit: tuple = START, closed: bool = False):
         self.head, self.count, self.exit, self.closed = head, count, exit, closed
 
     @classmethod
     def of(cls, machine: Transducer, marked: str) -> ChunkMap:
-        first = _BREAK.search(marked) if machine.breaks else None
-        if first is None:
+        if len(machine.states) > STATES:
+            machine.reset()
+        first, *words = machine.split(marked)
+        # The first word may go on from the chunk before, up to a character of no piece.
+        end = next((k for k, c in enumerate(first, 1) if c not in machine.alphabet), 0)
+        if not (words or end):
             return cls(marked)
-        last = marked.rfind(MARK)
-        while last > first.start() and marked[last - 1] == MARK:
-            last = marked.rfind(MARK, 0, last)
-        middle = marked[first.start() + 1 : last] if last > first.start() else None
-        count = machine._words(middle.replace(MARK, " ")) if middle is not None else 0
-        state, n = machine.run(0, marked[last:])
-        return cls(marked[: first.start()], count + n, state, True)
-
-    def apply(self, machine: Transducer, state: int) -> tuple[int, int]:
-        state, n = machine.run(state, self.head)
-        return (self.exit, n + self.count) if self.closed else (state, n)
+        if end == len(first):
+            words = words or [""]
+        else:
+            words = [first[end:], *words] if end else words
+        head = first[:end] or first
+        count = sum(map(machine.counts.__getitem__, words[:-1]))
+        state, n = machine.run(0, words[-1])
+        return cls(head, count + n, machine.states[state], True)
+
+    def apply(self, machine: Transducer, state: tuple) -> tuple[tuple, int]:
+        to, n = machine.run(machine.intern(state), self.head)
+        return (self.exit, n + self.count) if self.closed else (machine.states[to], n)
 
     def then(self, machine: Transducer, other: ChunkMap) -> ChunkMap:
         """This map, then the other; associative."""
@@ -184,16 +196,12 @@ class ChunkMap:
         return ChunkMap(self.head, self.count + n, state, True)
 
 
-def prefix_scan(machine: Transducer, maps: list[ChunkMap]) -> list[ChunkMap]:
-    """Inclusive prefixes by pairwise composition, in a logarithmic number of rounds."""
-    if len(maps) < 2:
-        return maps
-    pairs = [maps[i].then(machine, maps[i + 1]) for i in range(0, len(maps) - 1, 2)]
-    odd = prefix_scan(machine, pairs)
-    out = [maps[0]]
-    for i in range(1, len(maps)):
-        out.append(odd[i // 2] if i % 2 else odd[i // 2 - 1].then(machine, maps[i]))
-    return out
+def scan(machine: Transducer, maps: list[ChunkMap]) -> ChunkMap:
+    """The composition of all maps, neighbours in pairs, in a logarithmic number of rounds."""
+    while len(maps) > 1:
+        odd = maps[len(maps) & ~1 :]
+        maps = [maps[i].then(machine, maps[i + 1]) for i in range(0, len(maps) - 1, 2)] + odd
+    return maps[0]
 
 
 @functools.lru_cache(4)
@@ -215,9 +223,12 @@ def token_count(text: Column | str, path: str, chunk: int = CHUNK) -> Column:
     kind = pa.struct([("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
     def run(x: pa.Array) -> pa.Array:
+        settle()
         machine = load(path)
         rows = ((len(b), machine.count(b.decode("utf-8", "replace"), chunk)) for v in x.cast(pa.large_binary()) for b in [v.as_py() or b""])
-        return pa.array([{"n_bytes": b, "n_tokens": n} for b, n in rows], kind)
+        out = pa.array([{"n_bytes": b, "n_tokens": n} for b, n in rows], kind)
+        tidy()
+        return out
 
     return F.arrow_udf(run, "n_bytes long, n_tokens long")(text)
 
