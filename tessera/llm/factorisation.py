@@ -5,14 +5,15 @@ interactions of all features at rank f, in time linear in the features of a text
 
 The model is fitted on the driver on at most 2 * `most` labelled rows (`most` of each label, those
 with the least id hashes); the rows are weighted so that each label counts as often as it occurs.
-Fitting is deterministic. Scoring reads every whole text.
+Fitting is deterministic, however the rows are partitioned. Scoring reads every whole text.
 
 Metadata are any columns of the table: a value is hashed with its column's name, a number by its sign and
 power of two. A null has no feature. Each counts as much as a structure statistic.
 
 Defined results: a null or empty text has the structure features of an empty text and is scored; with
-no labelled rows every score is 0.5; of several labels of one id the least counts; null labels do not;
-repeated rows are scored alike. Other columns are carried unchanged.
+no labelled rows every score is 0.5; of several labels of one id the least counts; null labels do not; of
+several rows of one id the machine learns from the one whose text has the least hash; repeated rows are
+scored alike; an empty table gives no rows. Other columns are carried unchanged.
 """
 
 from __future__ import annotations
@@ -29,8 +30,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.work import settle, tidy
+
 HASHED, METADATA = 1 << 16, 1 << 12
-REMEMBER = 500_000
+REMEMBER = 150_000
 
 
 class _Slots(dict):
@@ -173,8 +176,12 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 
     extra = [f"_m{k}" for k in range(len(metadata))]
     texts = df.select(F.col(f"`{id_col}`").alias("_i"), F.col(f"`{text}`").alias("_t"), *[F.col(f"`{c}`").alias(m) for c, m in zip(metadata, extra)]).join(F.broadcast(ids), F.col("_i") == F.col("_id"))
-    got = texts.select("_id", "_y", F.arrow_udf(make, "at array<int>, x array<double>")("_t", *extra).alias("f")).dropDuplicates(["_id"]).toArrow()
+    order = F.struct(F.xxhash64("_t"), "_t", *[F.col(m).cast("string") for m in extra])
+    one = texts.groupBy("_id", "_y").agg(F.min_by(F.struct("_t", *extra), order).alias("r")).select("_id", "_y", "r.*")
+    got = one.select("_id", "_y", F.arrow_udf(make, "at array<int>, x array<double>")("_t", *extra).alias("f")).toArrow()
     got = got.sort_by("_id")
+    if not got.num_rows:
+        return fit([], np.zeros(0), np.zeros(0))
     f = got["f"].combine_chunks()
     rows = [(a.values.to_numpy().astype(np.int64), x.values.to_numpy()) for a, x in zip(f.field("at"), f.field("x"))]
     y = got["_y"].to_numpy()
@@ -189,6 +196,7 @@ def score(text: Column | str, machine: Machine, metadata: Sequence[str] = ()) ->
     bias, w, v = machine.bias, machine.w.astype(np.float32), machine.v.astype(np.float32)
 
     def run(x: pa.Array, *meta: pa.Array) -> pa.Array:
+        settle()
         m, out = Machine(bias, w, v), []
         held: list = []
         size = 0
@@ -200,6 +208,8 @@ def score(text: Column | str, machine: Machine, metadata: Sequence[str] = ()) ->
                 held, size = [], 0
         if held:
             out.append(sigmoid(m.raw(*_flat(held)[:3])))
+        del held
+        tidy()
         return pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
 
     return F.arrow_udf(run, "double")(text, *[F.col(f"`{c}`") for c in metadata])
