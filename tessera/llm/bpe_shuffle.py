@@ -4,7 +4,8 @@
    one packed row for each bucket of the word hash, its positions (word numbers in text order) in
    one row of their own.
 2. Rows meet by bucket. A bucket encodes each distinct word once and sends every block the ids of
-   its words. A frequent word is one entry a block, so no key is hot.
+   its words. A frequent word is one entry a block and the positions are dealt by a hash of their block,
+   so no key is hot.
 3. Rows meet by block, which puts the ids back by position.
 
 Decoding joins the token-byte table: a vocabulary's size bounds it, so every task holds it and
@@ -28,6 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.work import settle, tidy
+
 #: Characters of text in a block; most buckets.
 BLOCK = 16 << 20
 BUCKETS = 4096
@@ -188,7 +191,9 @@ def _rows(block: Block, at: int, names: list, buckets: int):
     place = np.empty(n, np.uint32)
     place[order] = np.arange(n, dtype=np.uint32)
     head = struct.pack("<q", len(names)) + np.array([x is None for x in names], np.uint8).tobytes() + np.array([x or 0 for x in names], "<i8").tobytes() + counts.astype("<i8").tobytes()
-    yield at % buckets, at, 0, _pack(head), _pack(_varint(place[flat]))
+    block.texts = block.first = block.spaced = None  # the words come next
+    yield zlib.crc32(struct.pack("<q", at)) % buckets, at, 0, _pack(head), _pack(_varint(place[flat]))
+    del flat, head
     words = [w.encode("utf-8", "replace") for w in block.number]
     bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, n)
     by = np.argsort(bucket, kind="stable")
@@ -252,6 +257,7 @@ def _assembled(df, path, pattern, id_col, text, buckets, block_bytes, of, fields
     schema = "bucket long, block long, kind int, a binary, b binary"
 
     def explode(batches):
+        settle()
         find, at = splitter(pattern), TaskContext.get().partitionId() << 24
         block, names = Block(find), []
         for batch in batches:
@@ -265,8 +271,11 @@ def _assembled(df, path, pattern, id_col, text, buckets, block_bytes, of, fields
         if names:
             for row in _rows(block, at, names, buckets):
                 yield _table([row])
+        del block, names
+        tidy()
 
     def encode_words(batches):
+        settle()
         now, memo = None, {}
         for batch in batches:
             out = []
@@ -279,6 +288,9 @@ def _assembled(df, path, pattern, id_col, text, buckets, block_bytes, of, fields
                 out.append((row["bucket"], row["block"], 1, row["a"], _encode_bucket(memo, row["b"], path, pattern)))
             if out:
                 yield _table(out)
+            del out, batch
+        del memo
+        tidy()
 
     def assemble(batches):
         def finish(held):
@@ -315,6 +327,7 @@ def _assembled(df, path, pattern, id_col, text, buckets, block_bytes, of, fields
         def batch_of(out):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int64(), *(k for _, _, k in fields)])], [id_col, *(n for n, _, _ in fields)])
 
+        settle()
         held: list = []
         for batch in batches:
             for row in batch.to_pylist():
@@ -324,6 +337,8 @@ def _assembled(df, path, pattern, id_col, text, buckets, block_bytes, of, fields
                 held.append(row)
         if held:
             yield from finish(held)
+        del held
+        tidy()
 
     packed = rows.mapInArrow(explode, schema).repartition("bucket").sortWithinPartitions("bucket")
     back = packed.mapInArrow(encode_words, schema).repartition("block").sortWithinPartitions("block")
