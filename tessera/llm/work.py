@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -43,14 +46,57 @@ def drop_at_exit(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
 
 
+#: Paths of the intermediates that the innermost settled() has made so far.
+_inner: ContextVar[list[str] | None] = ContextVar("inner", default=None)
+#: Has Spark drop a query's shuffle files when the query ends.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stash(df: DataFrame, what: str, per_file: int = 0) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: lineage ends there, and a lost
-    executor costs no recomputation of what stands before. per_file: most rows in a file, for large rows."""
+    executor costs no recomputation of what stands before. Its shuffle files go with the write. per_file: most
+    rows in a file, for large rows."""
     spark = df.sparkSession
     path = new_path(spark, what)
-    df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).option("maxRecordsPerFile", per_file).parquet(path)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).option("maxRecordsPerFile", per_file).parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
     drop_at_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    if (paths := _inner.get()) is not None:
+        paths.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*stored: DataFrame) -> None:
+    """Deletes what stash() has written, once nothing reads it any more."""
+    for df in stored:
+        _delete(df.sparkSession, df.stored_at)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def settled(build: Callable[[], DataFrame], spark: SparkSession, what: str) -> DataFrame:
+    """What build() returns, stored; the intermediates that it made are deleted, also if it fails."""
+    paths: list[str] = []
+    outer = _inner.set(paths)
+    try:
+        out = stash(build(), what)
+        done = paths.pop()
+    finally:
+        _inner.reset(outer)
+        for path in paths:
+            _delete(spark, path)
+    if (outside := _inner.get()) is not None:
+        outside.append(done)
+    return out
 
 
 def sized(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
@@ -66,6 +112,12 @@ def _trim():
         return lambda _: None
 
 
+def settle() -> None:
+    """For a worker at the start of a task: its objects are many and form no cycles, so the collector looks
+    through them seldom."""
+    gc.set_threshold(300_000, 50, 100)
+
+
 def tidy(*memos: dict) -> None:
     """Empties what a worker remembers and returns freed memory to the system: workers are reused, and a
     later stage would otherwise run beside what an earlier one has left."""

@@ -217,6 +217,25 @@ def test_repeated_spans_double_until_none_repeat(spark, base):
     assert substring.repeated_spans(df.filter("doc_id = 4"), base=base).count() == 0
 
 
+def test_substring_long_texts_and_clashing_names(spark):
+    rnd = random.Random(12)
+    words = [f"v{rnd.randrange(10**6)}" for _ in range(120_000)]
+    texts = [" ".join(words), " ".join(words[50_000:] + ["end"]), " ".join(words[:19]), None]
+    rows = [(3 * i, t, i, i, i, i, i, i, i) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row int, _id int, _m int, hits int, starts int, k int, n_words int").repartition(2)
+    got = {r.row.doc_id: r for r in substring.dedup(df).collect()}
+    assert [(got[3 * i].n_words, got[3 * i].n_removed) for i in range(4)] == [(120_000, 0), (70_001, 70_000), (19, 0), (0, 0)]
+    assert got[3].kept_text == "end" and all(tuple(got[3 * i].row)[2:] == (i,) * 7 for i in range(4))
+
+
+def test_substring_block_and_least_place():
+    """Of a block's windows the least place of each goes on, once; later places are known, equal ones dropped."""
+    h, w = np.array([7, 7, 7, 7, 8, 7]), np.array([1, 1, 1, 1, 1, 2])
+    name, none, at = np.array([5, 3, 3, 0, 9, 9]), np.array([0, 0, 0, 1, 0, 0], bool), np.array([2, 4, 4, 1, 1, 1])
+    least, later = substring._least_places(h, w, name, none, at)
+    assert sorted(later.tolist()) == [0, 3] and [tuple(x) for x in np.array([name, at]).T[least]] == [(3, 4), (9, 1), (9, 1)]
+
+
 def test_substring_equal_ids(spark):
     t = " ".join(f"w{i}" for i in range(30))
     df = spark.createDataFrame([(5, t, "s", 1, "c"), (5, t, "s", 1, "c"), (None, t, "s", 1, "c")], SCHEMA)
