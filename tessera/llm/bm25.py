@@ -4,38 +4,45 @@ A shard is the index of a bounded run of rows: postings by term, and for each te
 the greatest term weight (tf part of BM25). Document frequencies, the number of rows and the mean
 length are global, so scores of shards compare and the merge of their top k is exact.
 
-A search is block-max WAND over aligned blocks: for each query the upper bounds of its terms are added
-up by block, blocks are taken from the greatest bound on, and the search ends at the first block whose
-bound is below the k-th score so far (the pivot test, on whole blocks). Within the blocks taken, rows
-are scored exactly. Terms with few postings seed the threshold: the k-th greatest of the scores by these
-terms alone is at most the k-th score, so blocks bounded below it are not taken.
+A search is block-max WAND, set-wise instead of row by row. Given a threshold, the k-th score or less, the
+lists whose greatest weights add up to less than it are set aside, the longest for their weight first: a
+row in no other list cannot reach the threshold, which is the pivot test. The rows of the other lists are
+scored by these; those that the block maxima of the lists set aside still lift to the threshold are scored
+in full. Thresholds: in a shard the k-th score by the rarest terms, then by the lists taken; between shards
+the k-th score of the shards searched before. About FIRST shards come first, then eight times as many, and
+so on, so later shards return few rows: some 8 * k rows a query for each such step, however many shards.
 
 Defined results: words are maximal runs of bytes other than ASCII white space, A-Z in lower case; a
 query counts each distinct word as often as it occurs; a null or empty text has no words, matches
 nothing and as a query returns nothing; ties go to the smaller id, null ids last; repeated rows are
-rows of their own; rows that share no word with a query are not returned; an empty table gives no rows.
+rows of their own; queries that share an id and a text are one query, different texts under one id are
+queries of their own under that id; rows that share no word with a query are not returned; an empty table
+gives no rows. Words are told apart by 64-bit hashes: of n distinct words two share one with a probability
+of n * n / 2 ** 65.
 """
 
 from __future__ import annotations
 
 import pickle
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.work import stash
+from tessera.llm.work import settle, settled, stash, tidy
 
-#: Characters of text in a shard; rows in a block; queries in one pass, and their distinct words.
-SHARD, BLOCK, QUERIES, TERMS = 16 << 20, 64, 4096, 2_000_000
+#: Bytes of text in a shard; rows in a block; queries in one pass, and their distinct words; shards searched first.
+SHARD, BLOCK, QUERIES, TERMS, FIRST = 16 << 20, 64, 4096, 2_000_000, 3
 K1, B = 1.2, 0.75
 
 
 class _Terms(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = t = int(np.uint64(xxhash.xxh64_intdigest(word)).view(np.int64))
         return t
@@ -68,19 +75,28 @@ class Shard:
         row = np.repeat(np.arange(len(found), dtype=np.int32), [len(t) for t, _, _ in found])
         order = np.argsort(flat, kind="stable")
         self.terms, self.start = np.unique(flat[order], return_index=True)
-        self.start = np.append(self.start, len(flat))
-        self.row, self.count = row[order], np.concatenate([n for _, n, _ in found])[order].astype(np.int32) if found else np.zeros(0, np.int32)
+        self.start = np.append(self.start, len(flat)).astype(np.int32 if len(flat) < 1 << 31 else np.int64)
+        count = np.concatenate([n for _, n, _ in found])[order] if found else np.zeros(0, np.int32)
+        # Kept in the narrowest types: a shard is stored and travels as one value.
+        self.row, self.count = (x.astype(np.min_scalar_type(int(x.max(initial=0)))) for x in (row[order], count))
 
     def weigh(self, mean: float) -> None:
-        """The part of BM25 that does not depend on the query, and its maxima by term and block."""
+        """The part of BM25 that does not depend on the query, its maxima by term and by term and block, and
+        the terms of each row."""
         norm = K1 * (1 - B + B * self.length / (mean or 1.0))
+        self.row = self.row.astype(np.int64)  # as numpy indexes
         self.weight = self.count * (K1 + 1) / (self.count + norm[self.row])
+        del self.count
         block = self.row // BLOCK
-        term = np.repeat(np.arange(len(self.terms)), np.diff(self.start))
+        term = np.repeat(np.arange(len(self.terms), dtype=np.int32), np.diff(self.start))
         edge = np.flatnonzero((np.diff(block, prepend=-1) != 0) | (np.diff(term, prepend=-1) != 0))
         self.block, self.most = block[edge], np.maximum.reduceat(self.weight, edge) if len(edge) else np.zeros(0)
         self.block_start = np.searchsorted(edge, self.start)
-        self.edge = np.append(edge, len(self.row))  # of the postings of each (term, block)
+        self.greatest = np.maximum.reduceat(self.weight, self.start[:-1]) if len(self.terms) else np.zeros(0)
+        order = np.argsort(self.row, kind="stable")
+        self.row_term, self.row_weight = term[order], self.weight[order]
+        self.row_start = np.searchsorted(self.row[order], np.arange(len(self.length) + 1))
+        self.asked = np.zeros(len(self.terms))
 
     def seed(self, at: np.ndarray, idf: np.ndarray, k: int) -> float:
         """A lower bound of the k-th score from the rarest of the terms `at`, whose postings are 4 * k at
@@ -95,40 +111,62 @@ class Shard:
         score = np.bincount(back, np.repeat(idf[rare], n) * self.weight[own])
         return float(np.partition(score, len(score) - k)[len(score) - k])
 
-    def top(self, query: np.ndarray, idf: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """The k best (score, row), exactly; query: term hashes, idf: their weights in this query."""
+    def add(self, at: np.ndarray, idf: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The scores of all rows by the lists `at`."""
+        own = [slice(a, z) for a, z in zip(self.start[at].tolist(), self.start[at + 1].tolist())]
+        if not own:
+            return np.zeros(len(self.length))
+        weight = np.concatenate([self.weight[x] for x in own])
+        weight *= np.repeat(idf, size)
+        return np.bincount(np.concatenate([self.row[x] for x in own]), weight, len(self.length))
+
+    def top(self, query: np.ndarray, idf: np.ndarray, k: int, least: float = 0.0) -> list[tuple[float, int]]:
+        """The k best (score, row) of those whose score is `least` or more, exactly; query: term hashes, idf:
+        their weights in this query."""
         at = np.searchsorted(self.terms, query)
         ok = at < len(self.terms)
         ok[ok] = self.terms[at[ok]] == query[ok]
         at, idf = at[ok], idf[ok]
         if not len(at):
             return []
-        entry, n = _ranges(self.block_start[at], self.block_start[at + 1])
-        block, w = self.block[entry], np.repeat(idf, n)
-        bounds = np.bincount(block, w * self.most[entry], len(self.length) // BLOCK + 1)
-        ranked = np.argsort(-bounds, kind="stable")
-        ranked = ranked[(bounds[ranked] > 0) & (bounds[ranked] * (1 + 1e-9) >= self.seed(at, idf, k))]
-        best: list[tuple[float, int]] = []
-        step, done = max(4, k // 8), 0
-        while done < len(ranked):
-            if len(best) == k and bounds[ranked[done]] * (1 + 1e-9) < best[-1][0]:
+        near = 1 - 1e-9  # for sums in another order
+        least = (least or self.seed(at, idf, k)) * near
+        bound, size = idf * self.greatest[at], self.start[at + 1] - self.start[at]
+        by = np.argsort(bound / size, kind="stable")
+        at, idf, size = at[by], idf[by], size[by]
+        total = np.cumsum(bound[by])
+        if total[-1] < least:
+            return []
+        cut = int(np.searchsorted(total, least))  # the sum of the lists before it is less
+        score = self.add(at[cut:], idf[cut:], size[cut:])
+        hit = np.flatnonzero((score > 0) & (score >= least - (total[cut - 1] if cut else 0.0)))
+        if cut and len(hit):
+            entry = [slice(a, z) for a, z in zip(self.block_start[at[:cut]].tolist(), self.block_start[at[:cut] + 1].tolist())]
+            n = self.block_start[at[:cut] + 1] - self.block_start[at[:cut]]
+            rest = np.bincount(np.concatenate([self.block[e] for e in entry]), np.repeat(idf[:cut], n) * np.concatenate([self.most[e] for e in entry]))
+            hit = hit[score[hit] + rest[np.minimum(hit // BLOCK, len(rest) - 1)] >= least]
+        while cut and len(hit):
+            if len(hit) > k:
+                least = max(least, float(np.partition(score[hit], len(hit) - k)[len(hit) - k]) * near)
+                hit = hit[score[hit] + total[cut - 1] >= least]
+            postings = np.cumsum(size[:cut][::-1])
+            if (self.row_start[hit + 1] - self.row_start[hit]).sum() < postings[-1]:  # the rows' own words are fewer
+                self.asked[at[:cut]] = idf[:cut]
+                own, n = _ranges(self.row_start[hit], self.row_start[hit + 1])
+                score[hit] += np.bincount(np.repeat(np.arange(len(hit)), n), self.asked[self.row_term[own]] * self.row_weight[own], len(hit))
+                self.asked[at[:cut]] = 0.0
                 break
-            taken = np.sort(ranked[done : done + step])
-            done, step = done + step, step * 4
-            place = np.full(len(bounds), -1)
-            place[taken] = np.arange(len(taken))
-            inside = np.flatnonzero(place[block] >= 0)
-            own, n = _ranges(self.edge[entry[inside]], self.edge[entry[inside] + 1])
-            rows = self.row[own]
-            score = np.bincount(place[rows // BLOCK] * BLOCK + rows % BLOCK, np.repeat(w[inside], n) * self.weight[own], len(taken) * BLOCK)
-            hit = np.flatnonzero(score > 0)
-            if len(hit) > k:  # ties at the k-th place are kept for the ids to decide
-                hit = hit[score[hit] >= np.partition(score[hit], len(hit) - k)[len(hit) - k] * (1 - 1e-12)]
-            rows = taken[hit // BLOCK] * BLOCK + hit % BLOCK
-            best += zip(score[hit].tolist(), rows.tolist())
-            best.sort(key=lambda x: (-round(x[0], 9), self.ids[x[1]] is None, self.ids[x[1]] or 0))
-            del best[k:]
-        return best
+            # The lists that bound most for their length, a third of what is left; then the pivot test again.
+            lists = int(np.searchsorted(postings, postings[-1] / 3)) + 1
+            score += self.add(at[cut - lists : cut], idf[cut - lists : cut], size[cut - lists : cut])
+            cut -= lists
+            hit = hit[score[hit] + (total[cut - 1] if cut else 0.0) >= least]
+        hit = hit[score[hit] >= least]
+        if len(hit) > k:  # ties at the k-th place are kept for the ids to decide
+            hit = hit[score[hit] >= np.partition(score[hit], len(hit) - k)[len(hit) - k] * (1 - 1e-12)]
+        best = list(zip(score[hit].tolist(), hit.tolist()))
+        best.sort(key=lambda x: (-round(x[0], 9), self.ids[x[1]] is None, self.ids[x[1]] or 0))
+        return best[:k]
 
 
 def _inputs(df: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -136,14 +174,15 @@ def _inputs(df: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def index(df: DataFrame, id_col: str = "doc_id", text: str = "text", shard: int = SHARD) -> DataFrame:
-    """The stored shards: (rows, words, blob) each."""
+    """The stored shards: (shard, rows, words, blob) each."""
 
     def run(batches):
-        ids, texts, size = [], [], 0
+        settle()
+        ids, texts, size, number = [], [], 0, TaskContext.get().partitionId() << 24
 
         def close():
             s = Shard(ids, texts)
-            return pa.RecordBatch.from_arrays([pa.array([len(ids)]), pa.array([int(s.length.sum())]), pa.array([pickle.dumps(s, 5)], pa.binary())], ["rows", "words", "blob"])
+            return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([len(ids)]), pa.array([int(s.length.sum())]), pa.array([pickle.dumps(s, 5)], pa.binary())], ["shard", "rows", "words", "blob"])
 
         for batch in batches:
             for name, value in zip(batch["id"].to_pylist(), batch["text"]):
@@ -152,11 +191,13 @@ def index(df: DataFrame, id_col: str = "doc_id", text: str = "text", shard: int
                 size += len(texts[-1] or b"")
                 if size >= shard:
                     yield close()
-                    ids, texts, size = [], [], 0
+                    ids, texts, size, number = [], [], 0, number + 1
         if ids:
             yield close()
+        del ids, texts
+        tidy(_terms)
 
-    return stash(_inputs(df, id_col, text).mapInArrow(run, "rows long, words long, blob binary"), "shards", per_file=1)
+    return stash(_inputs(df, id_col, text).mapInArrow(run, "shard long, rows long, words long, blob binary"), "shards", per_file=1)
 
 
 def _frequencies(shards: DataFrame) -> DataFrame:
@@ -165,7 +206,7 @@ def _frequencies(shards: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for blob in batch["blob"]:
-                s = pickle.loads(blob.as_py())
+                s = pickle.loads(blob.as_buffer())
                 n = np.diff(s.start)
                 for k in range(0, len(n), 100_000):
                     yield pa.RecordBatch.from_arrays([pa.array(s.terms[k : k + 100_000]), pa.array(n[k : k + 100_000].astype(np.int64))], ["t", "n"])
@@ -177,50 +218,87 @@ def search(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id
     """(query_id, doc_id, score, rank): the k best rows of df for each row of queries.
 
     Queries go in passes: a pass broadcasts at most per_pass queries, and fewer where their distinct
-    words exceed TERMS; each pass visits every shard.
+    words exceed TERMS, and frees them when it ends; each pass visits every shard once.
     """
+    return settled(lambda: _search(df, queries, k, id_col, text, shard, per_pass), df.sparkSession, "found")
+
+
+def _search(df: DataFrame, queries: DataFrame, k: int, id_col: str, text: str, shard: int, per_pass: int) -> DataFrame:
     spark = df.sparkSession
     shards = index(df, id_col, text, shard)
-    n, words = shards.agg(F.sum("rows"), F.sum("words")).first()
-    schema = "query_id long, doc_id long, score double, rank long"
+    n, words, number = shards.agg(F.sum("rows"), F.sum("words"), F.count("*")).first()
     if not n or not words:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], "query_id long, doc_id long, score double, rank long")
     mean = words / n
 
     def split(x: pa.Array) -> pa.Array:
         found = [terms(v) for v in x.cast(pa.large_binary()).to_pylist()]
         return pa.array([[{"t": int(a), "n": int(b)} for a, b in zip(t, c)] for t, c, _ in found], pa.list_(pa.struct([("t", pa.int64()), ("n", pa.int64())])))
 
-    asked = _inputs(queries, id_col, text).select(F.col("id").alias("q"), F.explode(F.arrow_udf(split, "array<struct<t: long, n: long>>")("text")).alias("x")).select("q", "x.t", "x.n")
-    asked = asked.groupBy("q", "t").agg(F.max("n").alias("n"))
+    asked = _inputs(queries, id_col, text).select(F.col("id").alias("q"), F.xxhash64("text").alias("h"), F.explode(F.arrow_udf(split, "array<struct<t: long, n: long>>")("text")).alias("x")).select("q", "h", "x.t", "x.n")
+    asked = asked.groupBy("q", "h", "t").agg(F.max("n").alias("n"))
     idf = F.log1p((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighed = stash(asked.join(_frequencies(shards), "t").select("q", "t", (idf * F.col("n")).alias("w")), "queries")
-    total, pairs = weighed.agg(F.countDistinct("q"), F.count("*")).first()
+    weighed = stash(asked.join(_frequencies(shards), "t").select("q", "h", "t", (idf * F.col("n")).alias("w")), "queries")
+    total, pairs = weighed.agg(F.countDistinct("h", "q"), F.count("*")).first()
     passes = max(-(-total // per_pass), -(-pairs // TERMS), 1)
-    out = None
+    lots = shards.withColumn("lot", F.pmod(F.xxhash64("shard"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.lit(number))
+    order = Window.partitionBy("query_id", "h").orderBy(F.desc(F.round("score", 9)), F.col("doc_id").asc_nulls_last())
+    out = []
     for p in range(passes):
-        own = weighed.filter(F.pmod(F.xxhash64("q"), F.lit(passes)) == p).toArrow().sort_by([("q", "ascending"), ("t", "ascending")])
-        held = [own[c].combine_chunks() for c in ("q", "t", "w")]
-        sent = spark.sparkContext.broadcast((held[0].is_null().to_numpy(zero_copy_only=False), held[0].fill_null(0).to_numpy(), held[1].to_numpy(), held[2].to_numpy()))
-        part = shards.select("blob").mapInArrow(_searcher(sent, mean, k), "query_id long, doc_id long, score double")
-        out = part if out is None else out.unionAll(part)
-    order = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), F.col("doc_id").asc_nulls_last())
-    return out.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= k)
+        own = weighed.filter(F.pmod(F.xxhash64("q", "h"), F.lit(passes)) == p).toArrow()
+        asked = Asked(*[own[c].combine_chunks() for c in ("q", "h", "t", "w")])
+        del own
+        best, lo, hi = None, 0, FIRST
+        while lo < number:
+            sent = spark.sparkContext.broadcast(asked)
+            part = lots.filter((F.col("lot") >= lo) & (F.col("lot") < hi) if hi < number else F.col("lot") >= lo)
+            found = part.select("blob").mapInArrow(_searcher(sent, mean, k), "query_id long, h long, doc_id long, score double")
+            found = found if best is None else best.drop("rank").unionAll(found)
+            best = stash(found.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= k), "best")
+            sent.destroy()
+            lo, hi = hi, hi * 8
+            if lo < number:
+                last = best.filter(F.col("rank") == k).toArrow()
+                asked.raise_to(*[last[c].combine_chunks() for c in ("query_id", "h", "score", "doc_id")])
+        out.append(best)
+    return reduce(DataFrame.unionAll, out).select("query_id", "doc_id", "score", "rank")
+
+
+class Asked:
+    """The queries of a pass: terms and weights end to end, and the k-th place of each query so far."""
+
+    def __init__(self, q: pa.Array, h: pa.Array, t: pa.Array, w: pa.Array):
+        none, q, h, t, w = q.is_null().to_numpy(zero_copy_only=False), q.fill_null(0).to_numpy(), h.to_numpy(), t.to_numpy(), w.to_numpy()
+        order = np.lexsort((t, h, q, none))
+        none, q, h = none[order], q[order], h[order]
+        new = np.concatenate([[True], (none[1:] != none[:-1]) | (q[1:] != q[:-1]) | (h[1:] != h[:-1])]) if len(q) else np.zeros(0, bool)
+        edge = np.flatnonzero(new)
+        self.names = [(None if x else a, b) for x, a, b in zip(none[edge].tolist(), q[edge].tolist(), h[edge].tolist())]
+        self.edge, self.t, self.w = np.append(edge, len(q)), t[order], w[order]
+        self.least: dict = {}
+
+    def raise_to(self, q: pa.Array, h: pa.Array, score: pa.Array, doc: pa.Array) -> None:
+        self.least = {(a, b): (s, d) for a, b, s, d in zip(q.to_pylist(), h.to_pylist(), score.to_pylist(), doc.to_pylist())}
 
 
 def _searcher(sent, mean: float, k: int):
     def run(batches):
-        none, q, t, w = sent.value
-        edge = np.flatnonzero(np.diff(q, prepend=q[0] - 1 if len(q) else 0) | np.diff(none, prepend=not none[0] if len(none) else False)).tolist()
+        settle()
+        asked: Asked = sent.value
         for batch in batches:
             for blob in batch["blob"]:
-                s = pickle.loads(blob.as_py())
+                s = pickle.loads(blob.as_buffer())
                 s.weigh(mean)
                 rows = []
-                for a, z in zip(edge, [*edge[1:], len(q)]):
-                    rows += [(None if none[a] else int(q[a]), s.ids[r], x) for x, r in s.top(t[a:z], w[a:z], k)]
+                for name, a, z in zip(asked.names, asked.edge[:-1].tolist(), asked.edge[1:].tolist()):
+                    least, last = asked.least.get(name, (0.0, None))
+                    for x, r in s.top(asked.t[a:z], asked.w[a:z], k, least):
+                        # A tie with the k-th place so far counts only before its id.
+                        if least and round(x, 9) == round(least, 9) and last is not None and (s.ids[r] is None or s.ids[r] >= last):
+                            continue
+                        rows.append((*name, s.ids[r], x))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64()))], ["query_id", "doc_id", "score"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.float64()))], ["query_id", "h", "doc_id", "score"])
+        tidy()
 
     return run
-
