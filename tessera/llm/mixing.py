@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.work import sized, stash
+from tessera.llm.work import settled, sized, stash
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents of a leaf, and leaves that meet in a group one level up.
@@ -126,6 +126,10 @@ def plan(df: DataFrame, id_col: str = "doc_id", source: str = "source", text: st
 
     Texts are read once; what is stored and shuffled is a few numbers a row.
     """
+    return settled(lambda: _plan(df, id_col, source, text, weights, share, most, seed, leaf), df.sparkSession, "mix")
+
+
+def _plan(df: DataFrame, id_col: str, source: str, text: str, weights: tuple[int, ...], share: float, most: float, seed: int, leaf: int) -> DataFrame:
     c = lambda n: F.col(f"`{n}`")
     rows = stash(df.select(c(id_col).cast("long").alias("doc_id"), c(source).cast("string").alias("source"), word_count(c(text)).alias("size"), F.xxhash64(c(id_col), c(source), c(text)).alias("u")), "sizes")
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from tessera.llm.components import components
 from tessera.llm.substring import _hashes as word_memo
 from tessera.llm.substring import _mix, word_hashes
-from tessera.llm.work import sized, stash, tidy
+from tessera.llm.work import discard, settle, settled, sized, stash, tidy
 
 #: Ratio of the sizes in a band; bits of a sketch; keys of a task's block.
 RATIO, BITS, BLOCK = 1.4, 1024, 250_000
@@ -156,6 +156,7 @@ def _described(df: DataFrame, n: int, percent: int) -> DataFrame:
     task meets the packed join keys of the set and how many of them a link needs."""
 
     def run(batches):
+        settle()
         seen: set = set()
         for batch in batches:
             for lo in range(0, batch.num_rows, 2048):
@@ -286,10 +287,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return full.filter(F.arrow_udf(linked, "boolean")("n_a", "n_b", "s_a", "s_b")).select("a", "b")
 
 
-def links(df: DataFrame, members: DataFrame, n: int, percent: int) -> DataFrame:
-    """(node, label) of the linked classes. df has doc_id and text, members as _described() makes them."""
+def _grouped(described: DataFrame) -> DataFrame:
+    """(k, c) of the keys that classes share."""
     deal = F.when(F.col("c").bitwiseAND(F.lit(KNOWN)) > 0, F.xxhash64("k", "c")).otherwise(F.col("k"))
-    groups = stash(_signatures(members).repartition(deal).sortWithinPartitions("k").mapInArrow(_shared, "k long, c long"), "groups")
+    return _signatures(described).repartition(deal).sortWithinPartitions("k").mapInArrow(_shared, "k long, c long")
+
+
+def links(df: DataFrame, members: DataFrame, groups: DataFrame, n: int, percent: int) -> DataFrame:
+    """(node, label) of the linked classes. df has doc_id and text; members (doc_id, c, n, need) are its classes,
+    groups the (k, c) of keys that classes share."""
     shared = stash(groups.groupBy("c").agg(F.count("*").alias("shared")), "candidates")
     some = shared.select("c")
     ids = stash(members.join(sized(some), "c", "left_semi").groupBy("c").agg(F.min("doc_id").alias("_d")).select("_d").distinct(), "ids")
@@ -305,7 +311,7 @@ def links(df: DataFrame, members: DataFrame, n: int, percent: int) -> DataFrame:
     named = stash(_labelled(groups, labels), "named")
     mixed = named.groupBy("k").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("many")).filter("x <> y AND many > 2")
     crowded = stash(named.join(sized(stash(mixed.select("k"), "keys")), "k", "left_semi").groupBy("c").agg(F.count("*").alias("have")), "crowded")
-    need = members.filter("keys IS NOT NULL").select("c", "need").join(sized(crowded), "c").groupBy("c").agg(F.min("need").alias("need"), F.min("have").alias("have"))
+    need = members.filter("need IS NOT NULL").select("c", "need").join(sized(crowded), "c").groupBy("c").agg(F.min("need").alias("need"), F.min("have").alias("have"))
     open_ = stash(need.filter("have >= need").select("c"), "open")
     if open_.isEmpty():
         return labels
@@ -371,9 +377,11 @@ def _pivots(rows: DataFrame, lo: int, hi: int, percent: int) -> DataFrame:
 
 def _joined(df: DataFrame, id_col: str, text: str, n: int, percent: int) -> DataFrame:
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    members = stash(_described(docs, n, percent), "members")
-    labels = links(docs, members, n, percent)
-    named = members.drop("keys", "need").join(sized(labels.withColumnRenamed("node", "c")), "c", "left").withColumn("root", F.coalesce("label", "c"))
+    described = stash(_described(docs, n, percent), "described")
+    members, groups = stash(described.drop("keys"), "members"), stash(_grouped(described), "groups")
+    discard(described)  # the keys are as large as the texts
+    labels = links(docs, members, groups, n, percent)
+    named = members.drop("need").join(sized(labels.withColumnRenamed("node", "c")), "c", "left").withColumn("root", F.coalesce("label", "c"))
     least = named.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"), F.count("*").alias("many")).filter("many > 1")
     out = named.join(sized(stash(least.select("root", "least"), "least")), "root", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), "c", "root")
@@ -382,13 +390,13 @@ def _joined(df: DataFrame, id_col: str, text: str, n: int, percent: int) -> Data
 def join(df: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row: the least doc_id reachable by links of
     similarity percent / 100."""
-    return _joined(df, id_col, text, n, percent).drop("c", "root")
+    return settled(lambda: _joined(df, id_col, text, n, percent).drop("c", "root"), df.sparkSession, "components")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """The rows of df, one of each component: one with the least doc_id. Columns unchanged; rows with an
     empty set all stay."""
-    found = stash(_joined(df, id_col, text, n, percent), "components")
+    found = settled(lambda: _joined(df, id_col, text, n, percent), df.sparkSession, "components")
     row = F.struct(*[F.col(f"`{x}`") for x in df.columns]).alias("row")
     rows = df.select(row, F.col(f"`{id_col}`").cast("long").alias("_i"), F.col(f"`{text}`").alias("_t"))
     odd = found.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").limit(1).collect()
