@@ -56,6 +56,41 @@ def test_bm25(spark, shard, per_pass):
     assert bm25.search(df.limit(0), df, id_col="id").count() == 0
 
 
+def test_bm25_odd_queries(spark):
+    """Different texts under one id are queries of their own, equal ones one query; long texts; no id."""
+    rnd = random.Random(3)
+    long = " ".join(f"w{rnd.randrange(5000)}" for _ in range(100_000))
+    rows = [(1, "a b c"), (2, "b c d"), (3, "x y"), (3, "x y"), (4, long), (None, "a x"), (5, "q"), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = spark.createDataFrame([(7, "a"), (7, "x"), (7, "x"), (8, None), (None, "q"), (9, long)], "doc_id long, text string")
+    got = sorted((str(r.query_id), r["rank"], str(r.doc_id)) for r in bm25.search(df, asked, k=3).collect())
+    assert got == sorted([("7", 1, "None"), ("7", 2, "1"), ("7", 1, "3"), ("7", 2, "3"), ("7", 3, "None"), ("None", 1, "5"), ("9", 1, "4")])
+
+
+def test_bm25_later_shards_return_few_rows(spark, monkeypatch):
+    """Rows that shards return do not grow with queries times shards; copies that tie with the k-th neither."""
+    rnd = random.Random(4)
+    rows = [(i, " ".join(f"w{int(rnd.paretovariate(0.7)) % 2000}" for _ in range(40))) for i in range(900)]
+    rows += [(900 + i, rows[i % 3][1]) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    returned, plain = [], bm25.stash
+
+    def counted(frame, what, **kw):
+        out = plain(frame, what, **kw)
+        if what == "best":
+            returned.append(out.count())
+        return out
+
+    monkeypatch.setattr(bm25, "stash", counted)
+    got = {}
+    asked = df.filter("doc_id % 30 = 0")
+    for r in bm25.search(df, asked, k=5, shard=5000).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.doc_id))
+    assert len(returned) >= 3
+    want = brute(rows, [i for i, _ in rows if i % 30 == 0], 5)
+    assert {q: [d for _, d in sorted(v)] for q, v in got.items()} == {q: [d for d, _ in v] for q, v in want.items()}
+
+
 def test_bm25_rare_terms_seed_the_threshold():
     rnd = random.Random(2)
     texts = [" ".join(f"w{int(rnd.paretovariate(0.6)) % 900}" for _ in range(rnd.choice([1, 30, 90]))).encode() for _ in range(700)]
@@ -72,6 +107,8 @@ def test_bm25_rare_terms_seed_the_threshold():
             score[s.row[own]] += w * s.weight[own]
         want = sorted((-round(x, 9), i) for i, x in enumerate(score) if x)[:5]
         assert [i for _, i in s.top(t, idf, 5)] == [i for _, i in want]
+        assert [i for _, i in s.top(t, idf, 5, -want[2][0] if len(want) > 2 else 0)][:3] == [i for _, i in want[:3]]
+        assert s.top(t, idf, 5, -2 * want[0][0]) == [] and not s.asked.any()
         low = s.seed(at, idf, 5)
         assert low <= (-want[4][0] + 1e-8 if len(want) == 5 else 0)
         seeded += low > 0
@@ -123,6 +160,53 @@ def test_classifier_odd_rows(spark):
     assert {r.score for r in factorisation.classify(df, labels.limit(0)).collect()} == {0.5}
 
 
+def test_classifier_does_not_depend_on_partitions(spark):
+    """Ids with several texts and metadata: equal scores from any partitioning; and no rows from none."""
+    rnd = random.Random(8)
+    rows = [(i % 60, " ".join(rnd.choice("ab cd ef gh ij kl".split()) for _ in range(30)), i % 7) for i in range(240)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    tables = []
+    for parts in (1, 3, 7):
+        rnd.shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string, size int").repartition(parts)
+        tables.append(sorted((r.row.doc_id, r.row.text, r.score) for r in factorisation.classify(df, labels, metadata=["size"]).collect()))
+    assert tables[0] == tables[1] == tables[2] and len({s for *_, s in tables[0]}) > 1
+    assert factorisation.classify(df.limit(0), labels).count() == 0
+
+
+def test_fit_against_plain_python():
+    """Two epochs of AdaGrad on the logistic loss, feature by feature."""
+    rng = np.random.default_rng(1)
+    rows = [(np.array([3, 70 + i % 4, 9]), np.array([0.5, 1.0, 0.25 * (i % 3)])) for i in range(12)]
+    y, weight = np.array([i % 2 for i in range(12)], float), np.linspace(0.5, 1.5, 12)
+    got = factorisation.fit(rows, y, weight, rank=3, epochs=2)
+    size = factorisation.HASHED + factorisation.STRUCTURE + factorisation.METADATA
+    rng = np.random.default_rng(7)
+    b, w, v = 0.0, np.zeros(size), rng.normal(0, 0.02, (size, 3))
+    gb, gw, gv = 1e-6, np.full(size, 1e-6), np.full((size, 3), 1e-6)
+    for _ in range(2):
+        order = rng.permutation(12)
+        db, dw, dv = 0.0, {}, {}
+        for i in order:
+            at, x = rows[i]
+            z = b + sum(w[j] * u for j, u in zip(at, x))
+            z += sum((v[at[p]] @ v[at[q]]) * x[p] * x[q] for p in range(3) for q in range(p))
+            g = (1 / (1 + math.exp(-z)) - y[i]) * weight[i] / 12
+            db += g
+            for p in range(3):
+                dw[at[p]] = dw.get(at[p], 0) + g * x[p]
+                dv[at[p]] = dv.get(at[p], 0) + g * x[p] * sum(v[at[q]] * x[q] for q in range(3) if q != p)
+        for j in dw:
+            a, c = dw[j] + 1e-5 * w[j], dv[j] + 1e-5 * v[j]
+            gw[j] += a * a
+            gv[j] += c * c
+            w[j] -= 0.1 * a / math.sqrt(gw[j])
+            v[j] -= 0.05 * c / np.sqrt(gv[j])
+        gb += db * db
+        b -= 0.1 * db / math.sqrt(gb)
+    assert np.isclose(got.bias, b) and np.allclose(got.w, w) and np.allclose(got.v, v)
+
+
 def test_classifier_learns_from_metadata(spark):
     """Equal texts whose labels only the metadata tell apart."""
     rows = [(i, "same words in each", ["good", "bad"][i % 2], [700.0, -0.5][i % 2], None) for i in range(200)]
@@ -169,7 +253,7 @@ def planted():
     texts += [words(20) + passage + words(k) for k in (5, 30, 60)] + [words(12) + passage[8:33] + words(50), passage[:24]]
     texts += [words(206) + said + said, words(260) + said + said, words(90) + said + said, words(9), words(10)]
     line = words(9)
-    texts += [[*line, "\n", *words(80), "\n", *line], [*line, "\n", *line, "\n", *line, *words(30)], ["same"] * 60]
+    texts += [[*line, "\n", *words(80), "\n", *line], [*line, "\n", *line, "\n", *line, *words(30)], ["same"] * 60, [w for w in words(14) for _ in range(4)]]
     texts = [re.sub(" ?\n ?", "\n", " ".join(t)) for t in texts] + ["", " \n ", None]
     rnd.shuffle(texts)
     return [(3 * i, t, ["web", "books", "code", None][i % 4], len(t or "")) for i, t in enumerate(texts)]
@@ -182,8 +266,8 @@ def plainly_clean(t):
     chars = sum(map(len, words))
     if len(words) < 10 or 100 * len(brute_repeats(words, 5)) > 20 * len(words) or 100 * sum(map(len, again)) > 30 * chars:
         return False
-    covered = {n: sum(len(words[k]) for k in brute_repeats(words, n)) for n in (5, 7, 10)}
-    return all(covered[n] < 150 or 100 * covered[n] <= most * chars for n, most in ((5, 20), (7, 18), (10, 16)))
+    covered = {n: sum(len(words[k]) for k in brute_repeats(words, n)) for n in (3, 5, 7, 10)}
+    return all(covered[n] < 150 or 100 * covered[n] <= most * chars for n, most in ((3, 40), (5, 20), (7, 18), (10, 16)))
 
 
 def test_pipeline_against_plain_python(spark, tmp_path):
@@ -227,3 +311,24 @@ def test_pipeline_against_plain_python(spark, tmp_path):
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     for out in (frames[5], corpus_pipeline.run(spark, str(tmp_path))):
         assert sorted(map(tuple, out.select(*names).collect())) == coded
+
+
+def test_pipeline_on_odd_tables(spark):
+    """Extra columns whose names the stages use inside, null ids and sources, repeated rows; and no rows."""
+    rnd = random.Random(11)
+    words = lambda n: " ".join(f"v{rnd.randrange(10**6)}" for _ in range(n))
+    same, long = words(60), words(30_000)
+    rows = [(None, same, None), (None, same, None), (1, same, "a"), (2, long, "a"), (2, words(40), "b"), (3, "", "a"), (4, None, None), (5, words(25), "a")]
+    clash = ["row", "_id", "_m", "c", "k", "n", "label", "root", "_c", "_k", "kept", "n_words", "starts", "_nth"]
+    schema = "doc_id long, text string, source string, n_chars long, " + ", ".join(f"{x} int" for x in clash)
+    df = spark.createDataFrame([(*r, len(r[1] or ""), *range(len(clash))) for r in rows], schema)
+    frame = df
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        frame = spark.createDataFrame(stage(spark, frame, "").collect(), schema)
+        assert frame.columns == df.columns, name
+        assert all(tuple(r)[4:] == tuple(range(len(clash))) for r in frame.collect())
+        assert stage(spark, df.limit(0), "").count() == 0
+    left = Counter((r.doc_id, len(r.text.split())) for r in frame.collect())
+    assert set(left) <= {(1, 60), (2, 30_000), (2, 40), (5, 25)} and (2, 30_000) in left
+    name, stage = corpus_pipeline.STAGES[4]
+    assert stage(spark, frame, "").count() == frame.count() and stage(spark, df.limit(0), "").count() == 0

@@ -41,6 +41,39 @@ def test_transducer_counts(frame):
         assert r.over_limit == (r.n_tokens > 4096)
 
 
+def test_transducer_without_spaces_in_linear_memory():
+    """Japanese without a space: equal to the library, and the maps of 5 million characters in little memory."""
+    import tracemalloc
+
+    import sentencepiece
+
+    path = P.path("piece_bpe_32k.model")
+    sp, machine = sentencepiece.SentencePieceProcessor(model_file=path), transducer.load(path)
+    rnd = random.Random(2)
+    part = "".join(rnd.choice("日本語のテストはとてもながいぶんしょうです一二三") for _ in range(5000))
+    rare = "".join(chr(rnd.randrange(0x4E00, 0x9FA0)) for _ in range(5000))
+    for t in (part, rare, part[:3000] + rare + " " + part, part + "\n" * 3 + rare):
+        assert machine.count(t, 1000) == len(sp.encode(t))
+    one = machine.count(part)
+    tracemalloc.start()
+    many = machine.count(part * 1000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6 and abs(many - 1000 * one) <= 2000
+
+
+def test_transducer_on_empty_and_full_tables(spark, monkeypatch):
+    """No rows; states and words that are dropped and made again."""
+    path = P.path("piece_bpe_32k.model")
+    assert transducer.with_token_counts(spark.createDataFrame([], "doc_id long, text string"), path).count() == 0
+    machine = transducer.load(path)
+    texts = [t for t in odd_texts(60) if t and 20 < len(t) < 60][:4]
+    want = [machine.count(t) for t in texts]
+    monkeypatch.setattr(transducer, "STATES", 10)
+    monkeypatch.setattr(transducer, "REMEMBER", 3)
+    assert [machine.count(t, 20) for t in texts] == want
+
+
 @pytest.mark.parametrize("chunk", [1, 2, 7, 50])
 def test_transducer_chunks_compose(chunk):
     import sentencepiece
@@ -74,6 +107,47 @@ def test_arrow_round_trip(spark, frame, tmp_path):
     assert arrow_store.write_and_digest(frame.limit(0), path).count() == 0
 
 
+def test_manifest_finds_sequences(spark, frame, tmp_path):
+    import pyarrow as pa
+
+    path, folder = P.path("byte_bpe_50k.json"), str(tmp_path / "files")
+    arrow_store.write(frame, folder, path, 2, length=64, file_ids=3000)
+    files = sorted(arrow_store.manifest(spark, folder).collect(), key=lambda r: r.base_sequences)
+    assert len(files) > 3 and files[0].base_sequences == files[0].base_ids == 0
+    for a, b in zip(files, files[1:]):
+        assert b.base_sequences == a.base_sequences + a.sequences and b.base_ids == a.base_ids + a.ids
+    f = files[2]
+    with pa.memory_map(f.path.removeprefix("file:")) as m:
+        ids, mask = arrow_store.sequence(pa.ipc.open_file(m), f.sequences - 1)
+        assert len(ids) == 64 and sum(mask.to_pylist()) == f.ids - 64 * (f.sequences - 1)
+
+
+def test_words_go_one_by_one_only_where_the_file_allows(tmp_path):
+    """A file with another pre-tokenizer: whole texts go to the library, and results agree."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    stated = json.load(open(P.path("byte_bpe_50k.json"), encoding="utf-8"))
+    stated["pre_tokenizer"]["add_prefix_space"] = True
+    (tmp_path / "t.json").write_text(json.dumps(stated))
+    enc, lib = arrow_store.WordEncoder(str(tmp_path / "t.json")), Tokenizer.from_file(str(tmp_path / "t.json"))
+    assert not enc.by_word and arrow_store.encoder(P.path("byte_bpe_50k.json")).by_word
+    texts = [t for t in odd_texts(50) if t]
+    assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(texts)] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_are_forgotten_and_learnt_again(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(arrow_store, "REMEMBER", 5)
+    enc, lib = arrow_store.WordEncoder(P.path("byte_bpe_50k.json")), Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = [f"the caf\u00e9, {w}!? (x) don't {w}s\nThe end. {w} 12" for w in "one two three four five six seven eight".split()]
+    for t in texts * 2:
+        assert np.frombuffer(enc.encode([t, "the end."])[0], enc.dtype).tolist() == lib.encode(t, add_special_tokens=False).ids
+        assert len(enc.words) <= 5
+
+
 def test_arrow_random_access():
     import pyarrow as pa
 
@@ -101,6 +175,18 @@ def test_word_shuffle_bpe(frame):
     assert bpe_shuffle.digest(frame.limit(0), path, P.PATTERN).count() == 0
 
 
+def test_position_rows_are_spread():
+    """Blocks of many partitions do not meet in a few buckets."""
+    block = bpe_shuffle.Block(bpe_shuffle.splitter(P.PATTERN))
+    block.add("a b")
+    counts, number = {}, block.number
+    for at in (p << 24 for p in range(2000)):
+        block.texts, block.number = [b"\0" * 4], number
+        k = next(bpe_shuffle._rows(block, at, [1], 64))[0]
+        counts[k] = counts.get(k, 0) + 1
+    assert len(counts) == 64 and max(counts.values()) < 80
+
+
 def test_splitter_matches_library_on_all_characters():
     import tiktoken
 
@@ -132,9 +218,10 @@ def test_repetition_against_brute_force(spark, frame):
         assert s.n_symbols == sum(c in "#*$%&|<>" for c in t)
         assert s.n_dup_lines == len(lines) - len(set(lines))
         assert s.n_repeat_words == len(brute_repeats(words, 5))
-        assert list(s.covered_chars) == [sum(len(words[i]) for i in brute_repeats(words, n)) for n in (5, 7, 10)]
+        assert list(s.covered_chars) == [sum(len(words[i]) for i in brute_repeats(words, n)) for n in (3, 5, 7, 10)]
         assert r.base_failed == (len(words) < 10 or 100 * s.n_repeat_words > 20 * len(words))
     assert set(repetition.keep_clean(frame).columns) == set(frame.columns)
+    assert repetition.keep_clean(frame.limit(0)).count() == 0 and repetition.repetition(frame.limit(0)).count() == 0
 
 
 def test_repetition_survives_hash_collisions(monkeypatch):
@@ -151,7 +238,8 @@ def test_long_repeats_decide_below_the_base_share(spark):
         " ".join(words[:228] + said),  # 44 of 250 words under repeated 10-grams, 17.6 percent
         " ".join(words[:260] + said),  # 15.6 percent
         " ".join(words[:88] + words[:9]),  # a short text, 18 of 97 words and 90 characters, 18.6 percent
+        " ".join(w for w in words[:12] for _ in range(4)),  # every word four times: no five words twice, but three
     ]
     rows = repetition.repetition(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
-    assert {r.row.doc_id: (r.base_failed, r.kept) for r in rows} == {0: (False, False), 1: (False, True), 2: (False, True)}
+    assert {r.row.doc_id: (r.base_failed, r.kept) for r in rows} == {0: (False, False), 1: (False, True), 2: (False, True), 3: (False, False)}
     assert [r.doc_id for r in repetition.keep_clean(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()] == [1, 2]
