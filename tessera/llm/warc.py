@@ -36,7 +36,9 @@ _BLOCK = set(
     "p div br h1 h2 h3 h4 h5 h6 li ul ol tr td th table article section header footer nav main aside "
     "blockquote pre title head body html form dl dt dd hr".split()
 )
-_NAME = re.compile(r"/?([a-z]\w*)", re.A)
+#: The start of a comment, or a tag with its name; only looked for in front of a page's last ">", so that every
+#: tag it begins to read has an end.
+_TAG = re.compile(r"<(?:(!--)|(/?[A-Za-z]\w*|!)[^>]*>)", re.A)
 _HREF = re.compile(r"\bhref\s*=\s*", re.A)
 _WORD = re.compile(r"[^\s>]+")
 _GAP = re.compile(r"[ \t\r\f\v\xa0]+")
@@ -118,33 +120,34 @@ class Page:
     """
 
     def __init__(self, page: str):
-        self.page, self.low = page, page.translate(_LOWER)
+        low = page.lower()
+        self.page, self.low = page, low if len(low) == len(page) else page.translate(_LOWER)
         self.title: str | None = None
         self.links: list[str] = []
         self.absent: set[str] = set()
-        out, at = [], 0
-        while (tag := self.low.find("<", at)) >= 0:
-            out.append(page[at:tag])
-            if self.low.startswith("<!--", tag) and (end := self.find("-->", tag + 4)) >= 0:
-                out.append(" ")
-                at = end + 3
+        out, at, last, search = [], 0, page.rfind(">") + 1, _TAG.search
+        while tag := search(page, at, last):
+            start, end = tag.span()
+            out.append(page[at:start])
+            name = tag[2]
+            if name is None:
+                if (end := self.find("-->", end)) >= 0:
+                    out.append(" ")
+                    at = end + 3
+                else:
+                    at = page.find(">", start) + 1
                 continue
-            named = _NAME.match(self.low, tag + 1)
-            if not (named or self.low.startswith("!", tag + 1)) or (end := self.find(">", tag + 1)) < 0:
-                out.append("<")
-                at = tag + 1
-                continue
-            at, name, opens = end + 1, named[1] if named else "", self.low[tag + 1] != "/"
-            if opens and name in _HIDDEN and (after := self.close(name, at)):
-                out.append(" ")
-                at = after[1]
-                continue
-            if opens and name == "title" and self.title is None and (after := self.close(name, at)):
-                self.title = page[at : after[0]]
-            if opens and name == "a":
-                self.link(tag, end)
-            if name in _BLOCK:
+            at, name = end, name.lower()
+            if name in _HIDDEN:
+                if after := self.close(name, at):
+                    out.append(" ")
+                    at = after[1]
+            elif name == "a":
+                self.link(start, end - 1)
+            elif (name[1:] if name[0] == "/" else name) in _BLOCK:
                 out.append("\n")
+                if name == "title" and self.title is None and (after := self.close(name, at)):
+                    self.title = page[at : after[0]]
         out.append(page[at:])
         lines = (_GAP.sub(" ", x).strip() for x in entities.unescape("".join(out)).split("\n"))
         self.text = "\n".join(x for x in lines if x)
