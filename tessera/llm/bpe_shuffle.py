@@ -4,8 +4,8 @@
    one packed row for each bucket of the word hash, its positions (word numbers in text order) in
    one row of their own.
 2. Rows meet by bucket. A bucket encodes each distinct word once and sends every block the ids of
-   its words. A frequent word is one entry a block and the positions are dealt by a hash of their block,
-   so no key is hot.
+   its words. A frequent word is one entry a block and the positions are dealt round the buckets by
+   the number of their partition, so no key is hot.
 3. Rows meet by block, which puts the ids back by position.
 
 Decoding joins the token-byte table: a vocabulary's size bounds it, so every task holds it and
@@ -192,7 +192,7 @@ def _rows(block: Block, at: int, names: list, buckets: int):
     place[order] = np.arange(n, dtype=np.uint32)
     head = struct.pack("<q", len(names)) + np.array([x is None for x in names], np.uint8).tobytes() + np.array([x or 0 for x in names], "<i8").tobytes() + counts.astype("<i8").tobytes()
     block.texts = block.first = block.spaced = None  # the words come next
-    yield zlib.crc32(struct.pack("<q", at)) % buckets, at, 0, _pack(head), _pack(_varint(place[flat]))
+    yield ((at >> 24) + (at & 0xFFFFFF)) % buckets, at, 0, _pack(head), _pack(_varint(place[flat]))
     del flat, head
     words = [w.encode("utf-8", "replace") for w in block.number]
     bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, n)
