@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import arrow_store, bm25, bpe_shuffle, factorisation, mixing, parity, repetition, substring, transducer, warc
+from tessera.llm import arrow_store, bm25, bpe_shuffle, factorisation, fim, mixing, parity, repetition, substring, transducer, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -156,3 +156,21 @@ def op5_block_max_bm25(spark, sf_dir):
     docs = _documents(spark, sf_dir)
     found = bm25.search(docs, docs.filter("doc_id % 100 = 0"), k=10)
     return found.select("query_id", "doc_id", F.round("score", 4).alias("score"), "rank")
+
+
+@_query(
+    r"""WITH drawn AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS s FROM documents),
+number AS (SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, CAST('0x' || substr(s, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(s, 9, 8) AS BIGINT) AS h2,
+  CAST('0x' || substr(s, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(s, 25, 8) AS BIGINT) AS h4 FROM drawn),
+cut AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM number),
+made AS (SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM made"""
+)
+def op12_byte_dfa_fim(spark, sf_dir):
+    """Fill-in-the-middle outputs of every text, and the texts rebuilt from them."""
+    rows = fim.transform(_documents(spark, sf_dir), seed=1, percent=90, spm=20)
+    back = F.sha2(fim.restore(F.col("output"), F.col("form")), 256)
+    return rows.select("row.doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), back.alias("restored_sha256"))
