@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import arrow_store, bm25, bpe_shuffle, factorisation, fim, mixing, parity, repetition, substring, transducer, warc
+from tessera.llm import arrow_store, bm25, bpe_shuffle, factorisation, fim, mixing, parity, piece_agenda, repetition, substring, transducer, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -174,3 +174,12 @@ def op12_byte_dfa_fim(spark, sf_dir):
     rows = fim.transform(_documents(spark, sf_dir), seed=1, percent=90, spm=20)
     back = F.sha2(fim.restore(F.col("output"), F.col("form")), 256)
     return rows.select("row.doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), back.alias("restored_sha256"))
+
+
+@_query()
+def op11_piece_agenda(spark, sf_dir):
+    """Ids by the agenda of symbol pairs, with begin and end ids, and the text that the library decodes from them."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rows = piece_agenda.encode(_documents(spark, sf_dir), path)
+    decoded = F.sha2(piece_agenda.decode(F.col("ids"), path), 256)
+    return rows.select("row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), decoded.alias("decoded_sha256"), "agrees")
