@@ -84,6 +84,7 @@ def test_a_text_without_a_break(library):
 def test_what_differs_from_the_library_is_told(spark):
     """A unit that the library encodes otherwise marks its texts, and only those."""
     model = piece_agenda.Agenda(PATH)
+    model.forget()
     gone = model.library.piece_to_id("▁something")
     model.pair = {k: v for k, v in model.pair.items() if v & ((1 << 20) - 1) != gone}
     told = [ok for _, ok in model.batch(["x y", "something else again", "", "x"], True, True)]
