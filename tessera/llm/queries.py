@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import arrow_store, bm25, bpe_shuffle, factorisation, fim, mixing, parity, piece_agenda, repetition, substring, transducer, warc
+from tessera.llm import arrow_store, bm25, bpe_shuffle, factorisation, fim, mixing, parity, piece_agenda, repetition, spelling, substring, transducer, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -183,3 +183,27 @@ def op11_piece_agenda(spark, sf_dir):
     rows = piece_agenda.encode(_documents(spark, sf_dir), path)
     decoded = F.sha2(piece_agenda.decode(F.col("ids"), path), 256)
     return rows.select("row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), decoded.alias("decoded_sha256"), "agrees")
+
+
+@_query(
+    r"""WITH RECURSIVE run AS (SELECT doc_id, r, count(*) AS c FROM (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r FROM documents)
+  WHERE length(r) >= 6 GROUP BY 1, 2),
+code AS (SELECT *, list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || r, ''), lambda x: CAST(unicode(x) AS BIGINT)) AS cs FROM run),
+step AS (SELECT *, list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(cs, lambda x: CASE WHEN x < 128 THEN [x, -1, -1, -1, -1, -1, -1, -1, -1]
+  ELSE [195, -1, -1, -1, -1, -1, -1, -1, -1, x - 64, -1, -1, -1, -1, -1, -1, -1, -1] END))) AS bs FROM code),
+hashed AS (SELECT r, c, xor(4294967295, list_reduce(bs, lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END)) AS h FROM step),
+slipped AS (SELECT CASE WHEN h % 199 = 0 THEN substr(r, 1, CAST(h % length(r) AS BIGINT)) || substr(r, CAST(h % length(r) AS BIGINT) + 2) ELSE r END AS w, c FROM hashed),
+vocab AS (SELECT w, CAST(sum(c) AS BIGINT) AS n FROM slipped WHERE length(w) >= 6 GROUP BY w HAVING sum(c) >= 5),
+gap AS (SELECT w, i, substr(w, 1, i - 1) || substr(w, i + 1) AS d FROM (SELECT w, unnest(range(1, length(w) + 1)) AS i FROM vocab)),
+near AS (SELECT a.w AS w, b.w AS o FROM gap a JOIN gap b ON a.d = b.d AND a.i = b.i AND a.w <> b.w
+  UNION SELECT g.w, v.w FROM gap g JOIN vocab v ON g.d = v.w UNION SELECT v.w, g.w FROM gap g JOIN vocab v ON g.d = v.w),
+ranked AS (SELECT near.w, o, n AS m, row_number() OVER (PARTITION BY near.w ORDER BY n DESC, o) AS k, count(*) OVER (PARTITION BY near.w) AS n_near FROM near JOIN vocab ON vocab.w = o),
+formed AS (SELECT v.w AS word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN o END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n FROM vocab v LEFT JOIN ranked r ON r.w = v.w AND k = 1),
+chain(word, root, depth) AS (SELECT word, word, 0 FROM formed UNION ALL SELECT c.word, f.form, depth + 1 FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL),
+ending AS (SELECT word, arg_max(root, depth) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ending USING (word)"""
+)
+def op13_letter_parity_bands(spark, sf_dir):
+    """Frequent words, their frequent near words and the spelling that these lead to; one run in 199 has a slip planted."""
+    return spelling.variants(spelling.words(_documents(spark, sf_dir), least=6, often=5, slip=199), ratio=5)
