@@ -35,7 +35,7 @@ from tessera.llm.work import settle, tidy
 
 MARK = "▁"
 #: Units that a worker remembers before it starts afresh, and the longest of them.
-REMEMBER, LONGEST = 300_000, 64
+REMEMBER, LONGEST = 150_000, 64
 #: Symbols of the units whose agendas are rows of a table, and the least number of such rows; characters up to
 #: which a text is parted in one go.
 SHORT, FEW, AT_ONCE = 48, 4, 1 << 20
@@ -45,13 +45,18 @@ _NONE = 1 << 62
 _GONE = -(1 << 31)
 
 
+@functools.lru_cache(2)
+def library(path: str):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
 class Agenda:
     """Encoder of one model file."""
 
     def __init__(self, path: str):
-        import sentencepiece
-
-        self.library = sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.library = sp = library(path)
         every = range(sp.get_piece_size())
         self.begin, self.end = sp.bos_id(), sp.eos_id()
         merged = {sp.id_to_piece(i): i for i in every if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))}
@@ -239,7 +244,7 @@ def load(path: str) -> Agenda:
 
 
 #: Characters of text that are encoded, and checked, together.
-TOGETHER = 4 << 20
+TOGETHER = 1 << 20
 
 
 def encode(df: DataFrame, path: str, text: str = "text", begin: bool = True, end: bool = True) -> DataFrame:
@@ -271,7 +276,10 @@ def decode(ids: Column | str, path: str) -> Column:
     """The text that the library's decode() makes of ids; null of null."""
 
     def run(x: pa.Array) -> pa.Array:
-        sp = load(path).library
-        return pa.array([None if v.as_py() is None else sp.decode(np.frombuffer(v.as_py(), "<u4").tolist()) for v in x], pa.string())
+        settle()
+        sp = library(path)
+        out = pa.array([None if v.as_py() is None else sp.decode(np.frombuffer(v.as_py(), "<u4").tolist()) for v in x], pa.string())
+        tidy()
+        return out
 
     return F.arrow_udf(run, "string")(ids)
