@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import cosine, dot, host, safe_div
-from tessera.operators.relational import asof_join, latest_by, range_join, salted_join, sessionize, top_k_per_group
+from tessera.operators.relational import asof_join, latest_by, overlap_join, range_join, salted_join, sessionize, top_k_per_group
 from tessera.sources.tables import Tables
 from tessera.streaming.windows import first_seen, interval_join, session_counts, tumbling_counts
 
@@ -152,10 +152,10 @@ def agg_mixed(t):
 @query("""SELECT l_returnflag, n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty FROM lineitem
   JOIN (SELECT l_returnflag, count(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY 1) USING (l_returnflag) GROUP BY 1, 2""")
 def join_salted(t):
-    """A join on a key of three values, whose rows are dealt to several tasks each."""
+    """A join on a key of three values, whose rows are dealt to several tasks each; the small side is shuffled too."""
     kinds = t.lineitem.groupBy("l_returnflag").agg(F.countDistinct("l_suppkey").alias("n"))
     rows = t.lineitem.select("l_returnflag", "l_orderkey", "l_quantity")
-    return salted_join(rows, kinds, ["l_returnflag"], hot=1000, salts=8).groupBy("l_returnflag", "n").agg(dbl(F.sum(money("l_quantity"))).alias("qty"))
+    return salted_join(rows, kinds, ["l_returnflag"], hot=1000, salts=8, small=0).groupBy("l_returnflag", "n").agg(dbl(F.sum(money("l_quantity"))).alias("qty"))
 
 
 @query("""SELECT * FROM (SELECT o_custkey, o_orderkey, o_totalprice,
@@ -225,6 +225,18 @@ def join_asof(t):
     return asof_join(clicks, bought, ["user_id"], "ts", "bought", ["purchase_id"], F.date_trunc("week", "_t")).select("event_id", "purchase_id")
 
 
+@query("""SELECT o_orderkey, s.l_orderkey, s.l_linenumber FROM orders JOIN
+  (SELECT l_orderkey, l_linenumber, o_custkey AS k, l_shipdate AS a, l_shipdate + to_days(CAST(l_quantity AS INTEGER)) AS b FROM lineitem JOIN orders ON l_orderkey = o_orderkey) s
+  ON o_custkey = s.k AND o_orderdate < s.b AND s.a < o_orderdate + INTERVAL 20 DAY WHERE s.a < s.b""")
+def join_overlap(t):
+    """Shipments under way while an order of the same customer is open."""
+    open_ = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", F.expr("o_orderdate + INTERVAL '20' DAY").alias("closed"))
+    lines = t.lineitem.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    sent = lines.select("o_custkey", "l_orderkey", "l_linenumber", "l_shipdate", F.expr("l_shipdate + make_dt_interval(CAST(l_quantity AS INT))").alias("there"))
+    pairs = overlap_join(open_, sent, ["o_custkey"], ("o_orderdate", "closed"), ("l_shipdate", "there"), unit=86_400 * 8)
+    return pairs.select("l.o_orderkey", "r.l_orderkey", "r.l_linenumber")
+
+
 @query("""SELECT l_orderkey, l_linenumber, l_quantity, s_suppkey FROM lineitem JOIN supplier
   ON l_suppkey = s_suppkey AND l_quantity >= s_nationkey AND l_quantity < s_nationkey + 5""")
 def join_range(t):
@@ -311,10 +323,11 @@ def stream_sessions(t):
     return out.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
 
 
-@query("SELECT user_id, event_type FROM events GROUP BY ALL")
+@query("SELECT user_id, event_type, min(ts) AS ts FROM events GROUP BY ALL")
 def stream_first_seen(t):
     """Streaming deduplication on a batch frame."""
-    return first_seen(t.events.select("ts", "user_id", "event_type"), "ts", "1 hour", "user_id", "event_type").select("user_id", "event_type")
+    first = first_seen(t.events.select("ts", "user_id", "event_type"), "ts", "1 hour", "user_id", "event_type")
+    return first.select("user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
 @query("""SELECT c.event_id AS click, p.event_id AS purchase FROM events c JOIN events p ON c.user_id = p.user_id

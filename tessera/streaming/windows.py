@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.relational import _new, _quoted
+
 
 def read_stream(spark: SparkSession, folder: str, name: str, files_per_trigger: int = 1) -> DataFrame:
     """A table's Parquet files as a stream, with the schema of the batch table."""
@@ -15,29 +17,36 @@ def read_stream(spark: SparkSession, folder: str, name: str, files_per_trigger:
 
 def tumbling_counts(events: DataFrame, ts: str, every: str, late: str, *keys: str) -> DataFrame:
     """Count and sum of value per window and keys; rows later than `late` behind are dropped in a stream."""
+    w = _new("w", events)
     timed = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
     return (
-        timed.groupBy(F.window(ts, every).alias("w"), *keys)
+        timed.groupBy(F.window(ts, every).alias(w), *keys)
         .agg(F.count("*").alias("n"), F.sum("value").alias("total"))
-        .select(F.col("w.start").alias("start"), *keys, "n", "total")
+        .select(F.col(f"{w}.start").alias("start"), *keys, "n", "total")
     )
 
 
 def session_counts(events: DataFrame, ts: str, gap: str, late: str, *keys: str) -> DataFrame:
     """Rows per session window of each key."""
+    w = _new("w", events)
     timed = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
     return (
-        timed.groupBy(F.session_window(ts, gap).alias("w"), *keys)
+        timed.groupBy(F.session_window(ts, gap).alias(w), *keys)
         .agg(F.count("*").alias("n"))
-        .select(F.col("w.start").alias("start"), F.col("w.end").alias("until"), *keys, "n")
+        .select(F.col(f"{w}.start").alias("start"), F.col(f"{w}.end").alias("until"), *keys, "n")
     )
 
 
 def first_seen(events: DataFrame, ts: str, late: str, *keys: str) -> DataFrame:
-    """One row of each combination of keys. In a stream the state of a key goes when the watermark has passed
-    its row by `late`; a batch has no watermark, so there each combination comes once."""
+    """One row of each combination of keys. A batch gives the row with the least time (rows without a time come last,
+    of equal times any one). A stream gives the row that comes first, as it cannot wait for an earlier one; the
+    state of a key goes when the watermark has passed its row by `late`, and later rows begin anew."""
     timed = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
-    return timed.dropDuplicatesWithinWatermark([*keys]) if events.isStreaming else timed.dropDuplicates([*keys])
+    if events.isStreaming:
+        return timed.dropDuplicatesWithinWatermark([*keys])
+    row = _new("row", events)
+    first = timed.groupBy(*map(_quoted, keys)).agg(F.min_by(F.struct(*map(_quoted, timed.columns)), F.struct(_quoted(ts).isNull(), _quoted(ts))).alias(row))
+    return first.select(f"{row}.*")
 
 
 def interval_join(a: DataFrame, b: DataFrame, ts: str, late: str, within: str, *keys: str) -> DataFrame:
