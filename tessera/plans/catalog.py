@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import cosine, dot, host, safe_div
+from tessera.operators.quantiles import heavy_hitters, quantiles
 from tessera.operators.relational import asof_join, latest_by, overlap_join, range_join, salted_join, sessionize, top_k_per_group
 from tessera.sources.tables import Tables
 from tessera.streaming.windows import first_seen, interval_join, session_counts, tumbling_counts
@@ -158,6 +159,22 @@ def join_salted(t):
     return salted_join(rows, kinds, ["l_returnflag"], hot=1000, salts=8, small=0).groupBy("l_returnflag", "n").agg(dbl(F.sum(money("l_quantity"))).alias("qty"))
 
 
+@query("""SELECT l_returnflag, n, unnest([0.001, 0.25, 0.5, 0.9, 1.0])::DOUBLE AS q, unnest(v) AS l_extendedprice FROM (
+  SELECT l_returnflag, count(l_extendedprice) AS n, quantile_disc(l_extendedprice, [0.001, 0.25, 0.5, 0.9, 1.0]) AS v FROM lineitem GROUP BY 1)""")
+def agg_quantiles(t):
+    """Exact quantiles of three groups that hold all rows, by narrowing histograms."""
+    return quantiles(t.lineitem, ["l_returnflag"], "l_extendedprice", [0.001, 0.25, 0.5, 0.9, 1.0])
+
+
+@query("""WITH word AS (SELECT unnest(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS word FROM documents),
+found AS (SELECT word, count(*) AS n, rank() OVER (ORDER BY count(*) DESC) AS place FROM word GROUP BY 1)
+SELECT word, n FROM found WHERE place <= 100""")
+def agg_heavy_hitters(t):
+    """The hundred most frequent words of all documents, counted exactly."""
+    words = t.documents.select(F.explode(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("word"))
+    return heavy_hitters(words, "word", 100)
+
+
 @query("""SELECT * FROM (SELECT o_custkey, o_orderkey, o_totalprice,
   row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) WHERE rn <= 3""")
 def window_top_k(t):

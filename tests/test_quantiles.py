@@ -1,0 +1,135 @@
+"""Exact quantiles and heavy hitters against plain Python."""
+
+import datetime
+import math
+import random
+from collections import Counter, defaultdict
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.operators.quantiles import heavy_hitters, quantiles
+
+QS = [0.0, 0.01, 0.3, 0.5, 0.75, 0.999, 1.0]
+
+
+def plain(rows, qs):
+    by = defaultdict(list)
+    for k, v in rows:
+        if v is not None:
+            by[k].append(v)
+    out = {}
+    for k, vs in by.items():
+        vs.sort(key=lambda v: (isinstance(v, float) and math.isnan(v), v))
+        for q in qs:
+            out[k, q] = (len(vs), vs[max(1, len(vs) - math.floor(len(vs) - q * len(vs))) - 1])
+    return out
+
+
+def found(df, value):
+    rows = df.collect()
+    out = {(r.k, r.q): (r.n, r[value]) for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
+def same(a, b):
+    return repr(sorted(a.items(), key=repr)).replace("-0.0", "0.0") == repr(sorted(b.items(), key=repr)).replace("-0.0", "0.0")
+
+
+@pytest.mark.parametrize("finish, broadcast", [(4096, 1000), (3, 1000), (1, 0), (40, 5)])
+def test_quantiles_of_odd_doubles(spark, finish, broadcast):
+    """All magnitudes, ties, infinities, NaN, nulls, null keys, one group that holds most rows."""
+    rnd = random.Random(1)
+    odd = [None, math.nan, math.inf, -math.inf, 0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, 1.0, 1.0 + 2**-52, 1e-300]
+    draw = lambda: rnd.choice([rnd.choice(odd), rnd.uniform(-1, 1) * 10 ** rnd.randint(-300, 300), rnd.gauss(0, 1), float(rnd.randrange(5))])
+    rows = [(rnd.choice(["a", "a", "a", "b", None]), draw()) for _ in range(600)] + [("c", None), ("d", math.nan), ("e", 7.0), ("f", -math.inf), ("f", math.inf)]
+    df = spark.createDataFrame([(k, v, 1) for k, v in rows], "k string, v double, q0 int")
+    assert same(found(quantiles(df, ["k"], "v", QS, finish, broadcast), "v"), plain(rows, QS))
+
+
+@pytest.mark.parametrize("kind", ["tinyint", "int", "bigint", "float", "decimal(15,2)", "date", "timestamp", "timestamp_ntz"])
+def test_quantiles_of_each_type(spark, kind):
+    rnd = random.Random(2)
+    numbers = [(rnd.choice("ab"), rnd.randrange(-100, 100)) for _ in range(300)]
+    change = {"date": "date_add(date'2024-01-01', v)", "timestamp": "timestamp_micros(v * 1000001)", "timestamp_ntz": "cast(timestamp_micros(v * 1000001) as timestamp_ntz)"}.get(kind, f"cast(v as {kind})")
+    df = spark.createDataFrame(numbers, "k string, v int").selectExpr("k", f"{change} AS v")
+    rows = [(r.k, r.v) for r in df.collect()]
+    out = quantiles(df, ["k"], "v", QS, 5)
+    assert dict(out.dtypes)["v"] == dict(df.dtypes)["v"] and found(out, "v") == plain(rows, QS)
+
+
+def test_quantiles_of_longs_beyond_doubles(spark):
+    """Neighbours that are one double still come out apart."""
+    rows = [("a", 2**62 + i % 700) for i in range(5000)] + [("a", -(2**63)), ("a", 2**63 - 1)] * 3
+    df = spark.createDataFrame(rows, "k string, v long")
+    assert found(quantiles(df, ["k"], "v", QS, 2), "v") == plain(rows, QS)
+
+
+def test_quantiles_without_keys_or_rows(spark):
+    df = spark.range(1000).selectExpr("id AS v")
+    assert {r.q: (r.n, r.v) for r in quantiles(df, [], "v", [0.5, 0.5, 1.0], 10).collect()} == {0.5: (1000, 499), 1.0: (1000, 999)}
+    assert quantiles(df.limit(0), [], "v", [0.5]).count() == 0 and quantiles(df.selectExpr("1 AS k", "CAST(NULL AS INT) AS v"), ["k"], "v", [0.5]).count() == 0
+    for bad in ([], [1.5]):
+        with pytest.raises(ValueError):
+            quantiles(df, [], "v", bad)
+    with pytest.raises(ValueError):
+        quantiles(df.selectExpr("cast(v AS string) AS v"), [], "v", [0.5])
+
+
+def test_a_hot_group_costs_a_bounded_number_of_rows(spark):
+    """Whatever the rows of a group, each pass shuffles a task's cells and no more."""
+    from tessera.operators import quantiles as module
+
+    rows = spark.range(0, 200_000, 1, 4).selectExpr("1 AS _k0", "cast(id AS double) AS _x", "id AS _v")
+    brackets = spark.createDataFrame([(1, 0.5, 200_000, 100_000, 0, 199_999, 0.0, 199_999.0)], "_k0 int, q double, n long, rank long, _lo long, _hi long, _xlo double, _xhi double")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        step = module._narrowed(module._within(rows, brackets, ["_k0"], 10, 1), ["_k0"], True)
+        plan = step._jdf.queryExecution().executedPlan()
+        got = step.collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert got[0].left <= 200 and got[0]["_lo"] <= 99_999 <= got[0]["_hi"]
+    text = plan.toString()
+    assert "partial_count" in text and "SortMergeJoin" not in text and "collect" not in text
+
+
+@pytest.mark.parametrize("size", [2, 5, 40, None])
+def test_heavy_hitters(spark, size):
+    """Skewed, even and tied counts; summaries smaller than the number of values."""
+    rnd = random.Random(4)
+    items = [f"w{int(rnd.paretovariate(0.7)) % 400}" for _ in range(4000)] + [None] * 30 + [""] * 7
+    rnd.shuffle(items)
+    df = spark.createDataFrame([(x, 1) for x in items], "item string, n int").repartition(7)
+    for k in (1, 3, 10, 1000):
+        counts = Counter(items)
+        least = sorted(counts.values(), reverse=True)[min(k, len(counts)) - 1]
+        got = heavy_hitters(df, "item", k, size).collect()
+        assert {r["item"]: r.n for r in got} == {x: n for x, n in counts.items() if n >= least} and len({r["item"] for r in got}) == len(got)
+    assert heavy_hitters(df.limit(0), "item", 3).count() == 0
+
+
+def test_heavy_hitters_of_other_types(spark):
+    df = spark.range(100).selectExpr("cast(id % 3 AS decimal(9,2)) AS d", "timestamp_seconds(id % 4) AS t", "id", "1 AS one")
+    assert {r.d: r.n for r in heavy_hitters(df, "d", 1).collect()} == {Decimal("0.00"): 34}
+    assert {r.t.replace(tzinfo=None): r.n for r in heavy_hitters(df, "t", 1).collect()} == {datetime.datetime(1970, 1, 1, 0, 0, s): 25 for s in range(4)}
+    assert heavy_hitters(df, "id", 5, 10).count() == 100
+
+
+def test_a_summary_loses_little(spark):
+    """A task keeps `size` counters, and a counter lacks at most a (size + 1)-th of its rows."""
+    import pyarrow as pa
+
+    from tessera.operators.quantiles import _summaries
+
+    rnd = random.Random(6)
+    items = [int(rnd.expovariate(0.02)) for _ in range(20_000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(items[i : i + 300])], ["item"]) for i in range(0, len(items), 300)]
+    rows = [r for b in _summaries(25)(iter(batches)) for r in b.to_pylist()]
+    lost, counts = sum(r["lost"] for r in rows), Counter(items)
+    assert len(rows) <= 26 and lost <= 20_000 / 26
+    assert all(r["seen"] <= counts[r["item"]] <= r["seen"] + lost for r in rows if r["counted"])
+    seen = {r["item"] for r in rows if r["counted"]}
+    assert all(n <= lost for x, n in counts.items() if x not in seen)
