@@ -14,6 +14,7 @@ from tessera.functions.scalar import cosine, dot, host, safe_div
 from tessera.operators.quantiles import heavy_hitters, quantiles
 from tessera.operators.relational import asof_join, latest_by, overlap_join, range_join, salted_join, sessionize, top_k_per_group
 from tessera.sources.tables import Tables
+from tessera.streaming.patterns import Pattern, match
 from tessera.streaming.windows import first_seen, interval_join, session_counts, tumbling_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -354,3 +355,17 @@ def stream_interval_join(t):
     side = lambda kind: t.events.filter(F.col("event_type") == kind).select("event_id", "user_id", "ts")
     out = interval_join(side("click"), side("purchase"), "ts", "1 hour", "2 hours", "user_id")
     return out.select(F.col("a.event_id").alias("click"), F.col("b.event_id").alias("purchase"))
+
+
+@query("""WITH RECURSIVE e AS (SELECT user_id, event_id, epoch_us(ts) AS t, event_type AS k, row_number() OVER w AS rn,
+  coalesce(epoch_us(ts) - lag(epoch_us(ts)) OVER w > 172800000000, FALSE) AS broken FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+run AS (SELECT DISTINCT user_id, CAST(0 AS BIGINT) AS rn, 0 AS p, CAST(NULL AS BIGINT) AS start_t, CAST(NULL AS BIGINT) AS start_id, CAST(NULL AS BIGINT) AS end_t, CAST(NULL AS BIGINT) AS end_id FROM e
+  UNION ALL SELECT user_id, rn, CASE WHEN on_ THEN q + 1 WHEN k = 'error' THEN 0 ELSE q END,
+    CASE WHEN on_ AND q = 0 THEN t ELSE start_t END, CASE WHEN on_ AND q = 0 THEN event_id ELSE start_id END, t, event_id FROM (
+    SELECT e.*, q, start_t, start_id, k = (['view', 'click', 'purchase'])[q + 1] AS on_ FROM (
+      SELECT e.*, CASE WHEN broken OR p = 3 THEN 0 ELSE p END AS q, start_t, start_id FROM run JOIN e ON e.user_id = run.user_id AND e.rn = run.rn + 1) e) e)
+SELECT user_id, start_t, start_id, end_t, end_id FROM run WHERE p = 3""")
+def stream_patterns(t):
+    """The streaming pattern automaton on a batch frame: a view, a click, then a purchase, with no error and no two idle
+    days in between."""
+    return match(t.events, ["user_id"], "ts", "event_id", "event_type", Pattern.of("view", "click", "purchase", never=["error"], gap=172_800))
