@@ -74,8 +74,8 @@ stat AS (SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word
   coalesce(cov3.chars, 0) AS c3, coalesce(cov5.chars, 0) AS c5, coalesce(cov7.chars, 0) AS c7, coalesce(cov10.chars, 0) AS c10
   FROM documents d LEFT JOIN base USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN cov3 USING (doc_id) LEFT JOIN cov5 USING (doc_id) LEFT JOIN cov7 USING (doc_id) LEFT JOIN cov10 USING (doc_id))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
-  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * dc <= 30 * word_chars AND (c3 < 150 OR 100 * c3 <= 40 * word_chars) AND (c5 < 150 OR 100 * c5 <= 20 * word_chars)
-  AND (c7 < 150 OR 100 * c7 <= 18 * word_chars) AND (c10 < 150 OR 100 * c10 <= 16 * word_chars) AS kept FROM stat"""
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * dc <= 30 * word_chars AND 100 * c3 <= 40 * word_chars AND 100 * c5 <= 20 * word_chars
+  AND 100 * c7 <= 18 * word_chars AND 100 * c10 <= 16 * word_chars AS kept FROM stat"""
 )
 def op7_repetition_coverage(spark, sf_dir):
     """Quality rules by repetition coverage, at the operator's own limits."""
