@@ -5,7 +5,8 @@ Each source's target is a share of the words wanted, by weight, capped at a mult
 Pivotal rounding pairs two fractional documents and moves words from one to the other, in a random
 direction that leaves both expectations as they are, until one of them is integral; what is left goes
 on to the next pair. A source's words are so kept exactly, but for one last document. Leaves are
-hash groups of a source's documents; each leaf's residual, one document at most, goes up a tree.
+hash groups of a source's documents, equal rows in groups of a leaf's size; each leaf's residual, one document at
+most, goes up a tree.
 
 Random numbers are hashes of the rows, so reruns and retried tasks agree.
 
@@ -117,8 +118,10 @@ def _reduce(df: DataFrame, seed: int, last: bool) -> DataFrame:
             kinds = {"doc_id": pa.int64(), "source": pa.string(), "target": pa.float64(), "p": pa.float64(), "rank": pa.int32()}
             yield pa.RecordBatch.from_arrays([pa.array([row[n]], kinds.get(n, pa.int64())) for n in names], names)
 
-    keyed = df.select(*names).repartition("rank", "leaf").sortWithinPartitions("rank", "leaf", "u")
-    return keyed.mapInArrow(run, _ROW)
+    dealt = df.repartition("rank", "leaf")
+    if "times" in df.columns:  # equal rows come as one, and are told apart where they are used
+        dealt = dealt.withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    return dealt.select(*names).sortWithinPartitions("rank", "leaf", "u").mapInArrow(run, _ROW)
 
 
 def plan(df: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text", weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 0, leaf: int = LEAF) -> DataFrame:
@@ -131,15 +134,19 @@ def plan(df: DataFrame, id_col: str = "doc_id", source: str = "source", text: st
 
 def _plan(df: DataFrame, id_col: str, source: str, text: str, weights: tuple[int, ...], share: float, most: float, seed: int, leaf: int) -> DataFrame:
     c = lambda n: F.col(f"`{n}`")
-    rows = stash(df.select(c(id_col).cast("long").alias("doc_id"), c(source).cast("string").alias("source"), word_count(c(text)).alias("size"), F.xxhash64(c(id_col), c(source), c(text)).alias("u")), "sizes")
-    totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    each = df.select(c(id_col).cast("long").alias("doc_id"), c(source).cast("string").alias("source"), word_count(c(text)).alias("size"), F.xxhash64(c(id_col), c(source), c(text)).alias("u"))
+    rows = stash(each.groupBy("doc_id", "source", "size", "u").agg(F.count("*").alias("m")), "sizes")
+    totals = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("m")).alias("source_size"), F.sum("m").alias("n"))
     aims = stash(targets(totals, weights, share, most), "targets").withColumnRenamed("source", "_s")
     joined = rows.join(sized(aims), F.col("source").eqNullSafe(F.col("_s")))
     f = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     leaves = F.ceil(F.col("n") / F.lit(leaf))
-    level = joined.withColumn("f", f).select(
-        "doc_id", "source", "size", "u", "source_size", "target", "rank", F.pmod("u", leaves).cast("long").alias("leaf"),
+    # Equal rows fill a leaf at most, and the next of them go to another.
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("m") - 1) / F.lit(leaf))))
+    level = joined.withColumn("f", f).withColumn("part", part).select(
+        "doc_id", "source", "size", "u", "source_size", "target", "rank", F.pmod(F.xxhash64("u", "part"), leaves).cast("long").alias("leaf"),
         F.floor("f").cast("long").alias("base"), (F.col("f") - F.floor("f")).alias("p"), F.lit(None).cast("long").alias("copies"),
+        F.least(F.lit(leaf).cast("long"), F.col("m") - F.col("part") * leaf).alias("times"),
     )
     groups = int(aims.agg(F.max(F.ceil(F.col("n") / F.lit(leaf)))).first()[0] or 0)
     done = []

@@ -300,3 +300,22 @@ def test_pivot_keeps_expectations():
             held = u if held[0] in (0.0, 1.0) else held
         hits += [p for p, _, _ in units]
     assert np.abs(hits / n - [0.3, 0.6, 0.5, 0.25]).max() < 0.09
+
+
+def test_equal_rows_are_dealt_to_many_leaves(spark, monkeypatch):
+    """A third of all rows, or all of them, equal: no leaf holds more than two leaves' rows, and the words are kept."""
+    sizes, plain = [], mixing.stash
+
+    def counted(frame, what, **kw):
+        out = plain(frame, what, **kw)
+        if what == "pivots":
+            sizes.append(sorted(r["count"] for r in out.groupBy("rank", "leaf").count().collect()))
+        return out
+
+    monkeypatch.setattr(mixing, "stash", counted)
+    df = spark.range(60_000).selectExpr("7L AS doc_id", "'a' AS source", "'one two three' AS text")
+    rows = mixing.plan(df, share=1.5, leaf=500)
+    got = rows.groupBy("u").agg({"copies": "sum", "*": "count"}).collect()
+    assert len(got) == 1 and got[0]["count(1)"] == 60_000 and abs(got[0]["sum(copies)"] - 90_000) <= 1
+    assert len(sizes[0]) > 60 and sizes[0][-1] <= 5 * 500
+    assert rows.agg({"copies": "max"}).first()[0] == 2
