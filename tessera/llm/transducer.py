@@ -104,22 +104,20 @@ class Transducer:
         """(next state, emitted count), compiled when first asked for."""
         if (known := self.next[state].get(char)) is not None:
             return known
-        if char not in self.alphabet:
-            found = (0, len(char.encode("utf-8", "replace")))
+        if char not in self.alphabet:  # not remembered: there is no end of such characters
+            return 0, len(char.encode("utf-8", "replace"))
+        window, ends, counts = self.states[state]
+        window += char
+        for j in range(len(window)):
+            piece = window[j:]
+            if piece in self.score and self.compatible(ends[j], piece):
+                break
         else:
-            window, ends, counts = self.states[state]
-            window += char
-            for j in range(len(window)):
-                piece = window[j:]
-                if piece in self.score and self.compatible(ends[j], piece):
-                    break
-            else:
-                raise ValueError(f"no token ends at {char!r} after {window[:-1]!r}: not such a vocabulary")
-            count = counts[j] + 1
-            keep = next((k for k in range(len(window)) if window[k:] in self.prefixes), len(window))
-            key = (window[keep:], (*ends, piece)[keep:], tuple(c - count for c in (*counts, count)[keep:]))
-            found = (self.intern(key), count)
-        self.next[state][char] = found
+            raise ValueError(f"no token ends at {char!r} after {window[:-1]!r}: not such a vocabulary")
+        count = counts[j] + 1
+        keep = next((k for k in range(len(window)) if window[k:] in self.prefixes), len(window))
+        key = (window[keep:], (*ends, piece)[keep:], tuple(c - count for c in (*counts, count)[keep:]))
+        found = self.next[state][char] = (self.intern(key), count)
         return found
 
     def run(self, state: int, text: str) -> tuple[int, int]:
