@@ -8,10 +8,18 @@ derivative's id is a name-based UUID of the response's id, so a rerun makes the
 Files are written by the text sink, whose line separator is the blank lines that end a record; so any
 store that Spark writes will do, and a retried task leaves no half a file.
 
+The conversion is of the body as the server meant it: chunks are joined, gzip and deflate unpacked. A body whose
+header states chunks or a coding that it does not have (archives often store it decoded) is taken as it stands, with a
+field that says so; of one that breaks off, what can be unpacked is. Other codings (br, zstd), bodies that unpack to more than
+MOST bytes and types that are not text give no conversion record, and a field `no-conversion` with the reason. Pages of
+HTML and XML give their visible text, other texts give their characters as they are. Digests are of the payload as
+stored; `payload-digest-agrees` also accepts one of the joined chunks, which is what some archives state.
+
 Defined results: a null html is an empty payload, a null URL leaves out the target URI; a record that
 is not a well-formed response of HTTP gives a metadata record with the field "error" and no conversion
-record; a charset that is unknown or cannot be decoded with is taken as UTF-8; repeated rows give equal
-records; an empty table gives no rows. Columns besides the record are carried unchanged in `row`.
+record; a charset that is unknown or cannot be decoded with is taken as UTF-8; a body without a Content-Type is a
+page, unless a zero byte is among its first 1,024; repeated rows give equal records; an empty table gives no rows.
+Columns besides the record are carried unchanged in `row`.
 """
 
 from __future__ import annotations
@@ -28,6 +36,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 END = b"\r\n\r\n"
+#: Bytes that a body may unpack to.
+MOST = 256 << 20
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _HIDDEN = {"script", "style", "noscript", "template"}
@@ -196,6 +206,83 @@ def response_of(url: str | None, page: str | None, date: str = "2024-01-01T00:00
     return record(fields, block)
 
 
+def joined_chunks(body: bytes) -> bytes | None:
+    """The body behind Transfer-Encoding: chunked, or None if it is not in chunks. Extensions and trailers go."""
+    parts, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not re.fullmatch(rb"[0-9A-Fa-f]{1,15}", size):
+            return None
+        n, at = int(size, 16), end + 2
+        if n == 0:
+            return b"".join(parts)
+        if body[at + n : at + n + 2] != b"\r\n":
+            return None
+        parts.append(body[at : at + n])
+        at += n + 2
+
+
+def inflated(body: bytes, coding: str) -> tuple[bytes | None, str]:
+    """(the body unpacked, "" or what is wrong with it); None if it is too large."""
+    for bits in (31,) if "gzip" in coding else (15, -15):  # deflate: with a zlib header, or without one
+        out, size, left = [], 0, body
+        unpack = zlib.decompressobj(bits)
+        try:
+            while left:
+                out.append(unpack.decompress(left, 1 << 20))
+                size += len(out[-1])
+                if size > MOST:
+                    return None, f"it unpacks to more than {MOST} bytes"
+                left = unpack.unconsumed_tail
+                if unpack.eof:
+                    left = unpack.unused_data if bits == 31 and unpack.unused_data[:2] == b"\x1f\x8b" else b""
+                    if left:
+                        unpack = zlib.decompressobj(bits)
+                elif not left:  # what the last call held back
+                    while piece := unpack.decompress(b"", 1 << 20):
+                        out.append(piece)
+                        size += len(piece)
+            return b"".join(out), "" if unpack.eof or not body else f"{coding} breaks off"
+        except zlib.error:
+            if size:
+                return b"".join(out), f"{coding} breaks off"
+    return body, f"not {coding}"
+
+
+def decoded(headers: list[tuple[str, str]], payload: bytes) -> tuple[bytes | None, bytes, list[tuple[str, str]], str]:
+    """(body or None, the payload with its chunks joined, fields on what was odd, why there is no body)."""
+    stated = lambda name: [x.strip().lower() for k, v in headers if k.strip().lower() == name for x in v.split(",") if x.strip()]
+    body, said = payload, []
+    if "chunked" in stated("transfer-encoding"):
+        if (found := joined_chunks(body)) is None:
+            said.append(("transfer-encoding-error", "not in chunks"))
+        else:
+            body = found
+    entity = body
+    codings = [x for x in stated("content-encoding") + [x for x in stated("transfer-encoding") if x != "chunked"] if x != "identity"]
+    for coding in reversed(codings):
+        if coding not in ("gzip", "x-gzip", "deflate"):
+            return None, entity, said, f"content-encoding {coding}"
+        body, wrong = inflated(body, coding)
+        if body is None:
+            return None, entity, said, wrong
+        if wrong:
+            said.append(("content-encoding-error", wrong))
+    return body, entity, said, ""
+
+
+def media_type(headers: list[tuple[str, str]], body: bytes) -> tuple[str, str]:
+    """("page", "text" or "", the type): how a body of this type is read, "" if it is no text."""
+    stated = next((v for k, v in headers if k.strip().lower() == "content-type"), "").split(";")[0].strip().lower()
+    if not stated:
+        return ("", "unknown") if b"\0" in body[:1024] else ("page", "unknown")
+    if stated in ("text/html", "text/xml", "application/xml") or stated.endswith("+xml") and not stated.startswith("image/"):
+        return "page", stated
+    plain = stated.startswith("text/") or stated.endswith("+json") or stated in ("application/json", "application/javascript", "application/x-javascript")
+    return ("text" if plain else ""), stated
+
+
 def derive(raw: bytes | None) -> list[dict]:
     """The derivatives of a response record: dicts of record_type, record_id, refers_to, target_uri,
     block_digest, source_digest, text (conversion only) and record."""
@@ -227,19 +314,31 @@ def derive(raw: bytes | None) -> list[dict]:
     meta = [("error", error)] if error else []
     if error:
         return [made("metadata", "application/warc-fields", "".join(f"{k}: {v}\r\n" for k, v in meta).encode(), None)]
-    charset = _CHARSET.search(next((v for k, v in headers if k.strip().lower() == "content-type"), "")) or _CHARSET.search(payload[:1024].decode("latin-1"))
+    body, entity, odd, missing = decoded(headers, payload)
+    read, kind = media_type(headers, body or b"")
+    if not missing and not read:
+        missing = f"content-type {kind}"
+    agrees = str(stated in (None, found, digest(entity))).lower()
+    meta += [("http-status", status), *((f"http-header-{k.strip().lower()}", one_line(v)) for k, v in headers), ("payload-digest", found), ("payload-digest-agrees", agrees), *odd]
+    lines = lambda: "".join(f"{k}: {v}\r\n" for k, v in meta).encode()
+    if missing:
+        meta.append(("no-conversion", one_line(missing)))
+        return [made("metadata", "application/warc-fields", lines(), None)]
+    charset = _CHARSET.search(next((v for k, v in headers if k.strip().lower() == "content-type"), ""))
+    if charset is None and read == "page":
+        charset = _CHARSET.search(body[:1024].decode("latin-1"))
     try:
-        page = payload.decode(charset[1] if charset else "utf-8", "replace")
+        text = body.decode(charset[1] if charset else "utf-8", "replace")
     except (LookupError, UnicodeError):
-        page = payload.decode("utf-8", "replace")
-    seen = Page(page)
-    meta += [("http-status", status), *((f"http-header-{k.strip().lower()}", one_line(v)) for k, v in headers), ("payload-digest", found), ("payload-digest-agrees", str(stated in (None, found)).lower())]
-    meta += [("title", one_line(text_of(seen.title)))] if seen.title is not None else []
-    meta += [("outlink", one_line(entities.unescape(x))) for x in seen.links]
-    text = seen.text
+        text = body.decode("utf-8", "replace")
+    if read == "page":
+        seen = Page(text)
+        meta += [("title", one_line(text_of(seen.title)))] if seen.title is not None else []
+        meta += [("outlink", one_line(entities.unescape(x))) for x in seen.links]
+        text = seen.text
     return [
-        made("metadata", "application/warc-fields", "".join(f"{k}: {v}\r\n" for k, v in meta).encode(), None),
-        made("conversion", "text/plain; charset=utf-8", text.encode(), text),
+        made("metadata", "application/warc-fields", lines(), None),
+        made("conversion", "text/plain; charset=utf-8", text.encode("utf-8", "replace"), text),
     ]
 
 
