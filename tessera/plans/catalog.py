@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tessera.functions.scalar import cosine, dot, host, safe_div
 from tessera.operators.quantiles import heavy_hitters, quantiles
 from tessera.operators.relational import asof_join, latest_by, overlap_join, range_join, salted_join, sessionize, top_k_per_group
+from tessera.operators.temporal import coalesce, valid_time_join
 from tessera.sources.tables import Tables
 from tessera.streaming.patterns import Pattern, match
 from tessera.streaming.windows import first_seen, interval_join, session_counts, tumbling_counts
@@ -255,6 +256,35 @@ def join_overlap(t):
     return pairs.select("l.o_orderkey", "r.l_orderkey", "r.l_linenumber")
 
 
+_SPANS = """span AS (SELECT l_suppkey, l_shipdate AS a, l_shipdate + to_days(CAST(l_quantity AS INTEGER)) AS b FROM lineitem WHERE l_quantity >= 1),
+marked AS (SELECT *, coalesce(a > max(b) OVER (PARTITION BY l_suppkey ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), TRUE) AS new FROM span),
+numbered AS (SELECT *, count(*) FILTER (new) OVER (PARTITION BY l_suppkey ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS k FROM marked),
+island AS (SELECT l_suppkey, min(a) AS busy_from, max(b) AS busy_to, count(*) AS n FROM numbered GROUP BY l_suppkey, k)"""
+
+
+def _busy(t):
+    """Per supplier the spans in which at least one of its lines is under way."""
+    lines = t.lineitem.select("l_suppkey", F.col("l_shipdate").alias("busy_from"), F.expr("l_shipdate + make_dt_interval(CAST(l_quantity AS INT))").alias("busy_to"))
+    return coalesce(lines, ["l_suppkey"], "busy_from", "busy_to", bucket=F.date_trunc("year", "_a"))
+
+
+@query(f"WITH {_SPANS} SELECT * FROM island")
+def temporal_coalesce(t):
+    """Overlapping and touching shipments of a supplier merged to spans."""
+    return _busy(t)
+
+
+@query(f"""WITH {_SPANS},
+active AS (SELECT l_suppkey AS k, l_returnflag, min(l_shipdate) AS seen_from, max(l_shipdate) AS seen_to FROM lineitem GROUP BY ALL)
+SELECT k, l_returnflag, n, greatest(seen_from, busy_from) AS valid_from, least(seen_to, busy_to) AS valid_to
+FROM active JOIN island ON k = l_suppkey AND seen_from < busy_to AND busy_from < seen_to WHERE seen_from < seen_to""")
+def temporal_join(t):
+    """A supplier's busy spans within the time from the first to the last line of each return flag."""
+    seen = t.lineitem.groupBy("l_suppkey", "l_returnflag").agg(F.min("l_shipdate").alias("seen_from"), F.max("l_shipdate").alias("seen_to"))
+    pairs = valid_time_join(seen, _busy(t), ["l_suppkey"], ("seen_from", "seen_to"), ("busy_from", "busy_to"), unit=86_400 * 32)
+    return pairs.select(F.col("l.l_suppkey").alias("k"), "l.l_returnflag", "r.n", "valid_from", "valid_to")
+
+
 @query("""SELECT l_orderkey, l_linenumber, l_quantity, s_suppkey FROM lineitem JOIN supplier
   ON l_suppkey = s_suppkey AND l_quantity >= s_nationkey AND l_quantity < s_nationkey + 5""")
 def join_range(t):
