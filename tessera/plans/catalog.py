@@ -16,6 +16,7 @@ from tessera.operators.relational import asof_join, latest_by, overlap_join, ran
 from tessera.operators.temporal import coalesce, valid_time_join
 from tessera.sources.tables import Tables
 from tessera.streaming.patterns import Pattern, match
+from tessera.streaming.views import aggregate, aggregate_changes, join_changes, updated
 from tessera.streaming.windows import first_seen, interval_join, session_counts, tumbling_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -399,3 +400,25 @@ def stream_patterns(t):
     """The streaming pattern automaton on a batch frame: a view, a click, then a purchase, with no error and no two idle
     days in between."""
     return match(t.events, ["user_id"], "ts", "event_id", "event_type", Pattern.of("view", "click", "purchase", never=["error"], gap=172_800))
+
+
+@query("""SELECT o_custkey, count(*) AS n, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS total, min(CAST(l_quantity AS BIGINT)) AS lo, max(CAST(l_quantity AS BIGINT)) AS hi
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE NOT (l_returnflag = 'R' AND l_shipdate < TIMESTAMP '1996-01-01')
+  AND NOT (o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '1996-01-01') GROUP BY 1""")
+def view_changes(t):
+    """A view over a join, made of the rows before 1996 and then changed: later rows come, returned lines and finished orders
+    of before 1996 go. Equals the view of what is left."""
+    early = lambda c: F.col(c) < F.lit("1996-01-01").cast("timestamp_ntz")
+    lines = t.lineitem.select("l_shipdate", "l_returnflag", F.col("l_orderkey").alias("k"), "l_linenumber", F.col("l_quantity").cast("int").alias("qty"))
+    orders = t.orders.select("o_orderdate", "o_orderstatus", F.col("o_orderkey").alias("k"), "o_custkey")
+
+    def parted(df, at, gone):
+        old, new = df.filter(early(at)).withColumn("w", F.lit(1).cast("long")), df.filter(~early(at)).withColumn("w", F.lit(1).cast("long"))
+        return old, new.unionByName(old.filter(gone).withColumn("w", F.lit(-1).cast("long")))
+
+    (l, dl), (o, do) = parted(lines, "l_shipdate", "l_returnflag = 'R'"), parted(orders, "o_orderdate", "o_orderstatus = 'F'")
+    none = lambda df: df.filter("false")
+    before = join_changes(none(l), l, none(o), o, ["k"])
+    changes = join_changes(l, dl, o, do, ["k"])
+    now = updated(aggregate(before, ["o_custkey"], "qty"), aggregate_changes(before, changes, ["o_custkey"], "qty"), ["o_custkey"])
+    return now.select("o_custkey", "n", *[F.col(c).cast("long").alias(c) for c in ("total", "lo", "hi")])
