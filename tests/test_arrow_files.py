@@ -1,0 +1,104 @@
+"""Arrow files against Parquet: round trips, pruning by statistics, streams that start again."""
+
+import datetime
+import json
+import math
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo, GreaterThan, In, IsNotNull, IsNull, LessThan, LessThanOrEqual, StringContains
+
+from tessera.sources import arrow_files
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def small_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    yield
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("table", ["events", "lineitem", "embeddings", "documents"])
+def test_a_table_comes_back(spark, tmp_path, table):
+    df = spark.read.parquet(f"{SF}/{table}.parquet")
+    arrow_files.write(df.repartition(3), str(tmp_path / "a"))
+    back = arrow_files.read(spark, str(tmp_path / "a"))
+    assert back.dtypes == df.dtypes
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
+def test_odd_frames(spark, tmp_path):
+    """Nulls, NaN, nested columns, no rows; append and overwrite; URIs."""
+    at = str(tmp_path / "a")
+    df = spark.sql("SELECT * FROM VALUES (1, 'x', double('NaN'), array(1, null), date'2024-01-01'), (null, null, null, null, null), (3, '', double('inf'), array(), null) AS t(a, `b.c`, d, e, f)")
+    arrow_files.write(df, at)
+    arrow_files.write(df, f"file://{at}")
+    assert sorted(map(str, arrow_files.read(spark, at).collect())) == sorted(map(str, df.collect() * 2))
+    assert arrow_files.read(spark, at).filter("d > 5").count() == 4 and arrow_files.read(spark, at).filter("a IS NULL").count() == 2
+    arrow_files.write(df.limit(1), at, "overwrite")
+    assert arrow_files.read(spark, f"file:{at}").count() == 1 and len(list((tmp_path / "a").iterdir())) == 2
+    arrow_files.write(df.filter("a > 99"), str(tmp_path / "none"))
+    assert arrow_files.read(spark, str(tmp_path / "none"), schema=df.schema).count() == 0
+    with pytest.raises(Exception, match="give a schema"):
+        arrow_files.read(spark, str(tmp_path / "nowhere"))
+
+
+def test_filters_prune_partitions(spark, tmp_path, small_batches):
+    """A range of ids reads the batches that hold it; the rows are those of Parquet."""
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    at = str(tmp_path / "a")
+    arrow_files.write(events.coalesce(1).sortWithinPartitions("event_id"), at)
+    df = arrow_files.read(spark, at, rows=100)
+    assert df.rdd.getNumPartitions() == 10
+    for where, parts in (("event_id >= 250 AND event_id < 320", 2), ("event_id = 7", 1), ("event_id IN (5, 905)", 2), ("event_id > 5000", 1), ("user_id IS NULL", 1), ("event_id < 0", 1), ("event_type = 'click'", 10)):
+        kept = df.filter(where)
+        assert kept.rdd.getNumPartitions() == parts, where
+        assert sorted(map(str, kept.collect())) == sorted(map(str, events.filter(where).collect()))
+
+
+def test_files_without_statistics(spark, tmp_path):
+    """Files of other writers are planned by their footers."""
+    batches = [pa.RecordBatch.from_pydict({"a": list(range(k * 10, k * 10 + 10))}) for k in range(5)]
+    (tmp_path / "a").mkdir()
+    with pa.ipc.new_file(str(tmp_path / "a" / "x.arrow"), batches[0].schema) as f:
+        for b in batches:
+            f.write_batch(b)
+    df = arrow_files.read(spark, str(tmp_path / "a"), rows=10)
+    assert df.rdd.getNumPartitions() == 5 and sorted(r.a for r in df.filter("a > 12").collect()) == list(range(13, 50))
+
+
+def test_bounds_of_a_batch():
+    batch = pa.RecordBatch.from_pydict({"a": [3, None, 7], "d": [1.0, math.nan, 2.0], "s": ["b", "a", "x" * 200], "n": pa.array([None] * 3, pa.int64()), "t": [datetime.datetime(2024, 1, 1)] * 3})
+    stats = json.loads(json.dumps(arrow_files.statistics(batch)))
+    assert stats == {"rows": 3, "columns": {"a": [3, 7, 1], "n": [None, None, 3]}}
+    a, n = ("a",), ("n",)
+    may = {f: arrow_files.may_hold(stats, f) for f in (EqualTo(a, 3), EqualTo(a, 8), GreaterThan(a, 6), GreaterThan(a, 7), LessThan(a, 3), LessThanOrEqual(a, 3), In(a, (9, 5)), In(a, (9, None)), IsNull(a), IsNotNull(n), IsNull(n), EqualTo(n, 1), EqualTo(("d",), 5), EqualTo(("a", "b"), 1), EqualTo(a, "x"), StringContains(a, "q"))}
+    assert list(may.values()) == [True, False, True, False, False, True, True, False, True, False, True, False, True, True, True, True]
+
+
+def test_a_stream_goes_on_behind_what_it_has_read(spark, tmp_path):
+    at, out, cp = (str(tmp_path / n) for n in ("a", "out", "cp"))
+    seen = 0
+    for k in range(3):
+        arrow_files.write(spark.range(k * 100, k * 100 + 100, 1, 2).withColumn("k", F.lit(k)), at)
+        if k == 1:
+            arrow_files.write(spark.range(1000, 1007, 1, 1).withColumn("k", F.lit(9)), at)
+        stream = arrow_files.read_stream(spark, at)
+        query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", cp).trigger(availableNow=True).start()
+        query.awaitTermination()
+        new = sum(p["numInputRows"] for p in map(lambda x: json.loads(x.json), query.recentProgress))
+        assert new == (100, 107, 100)[k]
+        seen += new
+        assert sorted(map(tuple, spark.read.parquet(out).collect())) == sorted(map(tuple, arrow_files.read(spark, at).collect()))
+    assert seen == 307
+
+
+def test_a_task_that_failed_leaves_nothing(spark, tmp_path):
+    at = str(tmp_path / "a")
+    broken = spark.range(0, 100, 1, 4).selectExpr("id", "CASE WHEN id = 99 THEN raise_error('no') ELSE 'x' END AS s")
+    with pytest.raises(Exception):
+        arrow_files.write(broken, at)
+    assert arrow_files._files(at) == []
