@@ -253,7 +253,7 @@ def _assembled(df, path, pattern, id_col, text, buckets, block_bytes, of, fields
     spark = df.sparkSession
     buckets = buckets or min(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    # Both shuffles are dealt by number, so that a bucket's or a block's rows arrive in one task.
+    # Both shuffles are dealt by number: a bucket is a task, and a block's rows arrive in one.
     schema = "bucket long, block long, kind int, a binary, b binary"
 
     def explode(batches):
@@ -340,6 +340,6 @@ def _assembled(df, path, pattern, id_col, text, buckets, block_bytes, of, fields
         del held
         tidy()
 
-    packed = rows.mapInArrow(explode, schema).repartition("bucket").sortWithinPartitions("bucket")
+    packed = rows.mapInArrow(explode, schema).repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket")
     back = packed.mapInArrow(encode_words, schema).repartition("block").sortWithinPartitions("block")
     return back.mapInArrow(assemble, f"`{id_col}` long, " + ", ".join(f"{n} {k}" for n, k, _ in fields))

@@ -104,6 +104,18 @@ def sized(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= most else ids
 
 
+#: Bytes of an Arrow batch of texts, on their way to Python and back: each task has some of them on either side.
+BATCH = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the bytes of the session's Arrow batches, besides their rows, unless its own bound is lower."""
+    found = re.fullmatch(r"(\d+)b?", spark.conf.get(_BATCH))
+    if found is None or int(found[1]) > BATCH:
+        spark.conf.set(_BATCH, str(BATCH))
+
+
 @functools.lru_cache(1)
 def _trim():
     try:
