@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from tessera.functions.scalar import cosine, dot, host, safe_div
 from tessera.operators.quantiles import heavy_hitters, quantiles
 from tessera.operators.relational import asof_join, latest_by, overlap_join, range_join, salted_join, sessionize, top_k_per_group
+from tessera.operators.stored import new_folder
 from tessera.operators.temporal import coalesce, valid_time_join
+from tessera.sources import arrow_files
 from tessera.sources.tables import Tables
 from tessera.streaming.patterns import Pattern, match
 from tessera.streaming.views import aggregate, aggregate_changes, join_changes, updated
@@ -422,3 +424,14 @@ def view_changes(t):
     changes = join_changes(l, dl, o, do, ["k"])
     now = updated(aggregate(before, ["o_custkey"], "qty"), aggregate_changes(before, changes, ["o_custkey"], "qty"), ["o_custkey"])
     return now.select("o_custkey", "n", *[F.col(c).cast("long").alias(c) for c in ("total", "lo", "hi")])
+
+
+@query("""SELECT event_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, min(props) AS first_props
+FROM events GROUP BY ALL""")
+def source_arrow_files(t):
+    """All events written as Arrow files and read back."""
+    path = new_folder(t.events.sparkSession, "events-arrow")
+    arrow_files.write(t.events, path)
+    rows = arrow_files.read(t.events.sparkSession, path)
+    day = F.date_trunc("day", F.col("ts").cast("timestamp")).cast("timestamp_ntz").alias("day")
+    return rows.groupBy("event_type", day).agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"), dbl(F.sum(money("value"))).alias("total"), F.min("props").alias("first_props"))
