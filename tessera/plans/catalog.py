@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import cosine, dot, host, safe_div
+from tessera.operators.json_shapes import frequent, shapes, shred, type_of
 from tessera.operators.quantiles import heavy_hitters, quantiles
 from tessera.operators.relational import asof_join, latest_by, overlap_join, range_join, salted_join, sessionize, top_k_per_group
 from tessera.operators.stored import new_folder
@@ -435,3 +436,18 @@ def source_arrow_files(t):
     rows = arrow_files.read(t.events.sparkSession, path)
     day = F.date_trunc("day", F.col("ts").cast("timestamp")).cast("timestamp_ntz").alias("day")
     return rows.groupBy("event_type", day).agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"), dbl(F.sum(money("value"))).alias("total"), F.min("props").alias("first_props"))
+
+
+@query("""WITH key AS (SELECT key AS path, json_type(props, '$."' || key || '"') AS kind FROM (SELECT props, unnest(json_keys(props)) AS key FROM events))
+SELECT path, CASE WHEN bool_and(kind IN ('UBIGINT', 'BIGINT')) THEN 'bigint' WHEN bool_and(kind IN ('UBIGINT', 'BIGINT', 'DOUBLE')) THEN 'double' WHEN bool_and(kind = 'VARCHAR') THEN 'string' ELSE 'json' END AS type, count(*) AS n FROM key GROUP BY 1
+UNION ALL SELECT '', 'object', count(*) FROM events""")
+def json_shapes(t):
+    """The paths of a JSON column with their types."""
+    return shapes(t.events, "props").select("path", type_of(F.col("bits")).alias("type"), "n")
+
+
+@query("SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k, '{}' AS rest FROM events")
+def json_shredded(t):
+    """The frequent paths of a JSON column as typed columns."""
+    events = t.events.select("event_id", "event_type", "props")
+    return shred(events, "props", frequent(shapes(events, "props"), events.count(), 0.5)).drop("props")
