@@ -72,12 +72,12 @@ def as_dict(df):
 @pytest.mark.parametrize("crowd", [2048, 12, 2])
 def test_variants_against_all_pairs(spark, crowd):
     """Whole groups, groups by halves, and blocks of these give the same: the plain result."""
-    counts = some_counts(500) | {"": 5, "a": 30, "ab": 200, "b": 6, "abc" * 2000: 5, "abc" * 1999 + "ab": 50}
+    counts = some_counts(260) | {"": 5, "a": 30, "ab": 200, "b": 6, "abc" * 100: 5, "abc" * 99 + "ab": 50}
     df = spark.createDataFrame([*counts.items(), (None, 3), ("ab", None)], "word string, n long")
     got = as_dict(spelling.variants(df, crowd=crowd))
     want = plain_variants(counts)
     assert got == want
-    assert sum(f is not None for f, *_ in want.values()) > 100 and max(k for *_, k, _ in want.values()) > 5
+    assert sum(f is not None for f, *_ in want.values()) > 50 and max(k for *_, k, _ in want.values()) > 2
     assert any(f is not None and r != f for f, r, *_ in want.values())
 
 
