@@ -7,7 +7,6 @@ from collections import Counter, defaultdict
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.operators.quantiles import heavy_hitters, quantiles
 

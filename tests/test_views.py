@@ -89,7 +89,7 @@ def test_batches_against_recomputation(spark):
 def test_streams_against_recomputation_after_each_batch(spark, tmp_path, parts):
     """Two queries, a join and an aggregate behind it, that stop and start again between batches."""
     at = {n: str(tmp_path / n) for n in ("l.parquet", "r.parquet", "joined.parquet", "view", "c1", "c2")}
-    batches = some_batches(2)
+    batches = some_batches(2, 3)
     for k, (dl, dr) in enumerate(batches):
         for df, name in zip(frames(spark, dl, dr), ("l.parquet", "r.parquet")):
             df.coalesce(1).write.mode("append").parquet(at[name])
