@@ -75,6 +75,16 @@ def _marked(df: DataFrame, many: DataFrame, keys: Sequence[str], flag: str) -> D
     return joined.select(*[F.col(f"d.`{c}`") for c in df.columns], F.col("h._is_hot").alias(flag))
 
 
+#: Rows that a task takes of a shuffle whose partitions are set by their number.
+ROWS = 250_000
+
+
+def parts_of(*frames: DataFrame) -> int:
+    """How many partitions hold at most about ROWS rows each of all frames together, which are counted. Adaptive execution joins
+    partitions by their compressed bytes, and of rows that compress well a task would get any number."""
+    return max(1, -(-sum(df.count() for df in frames) // ROWS))
+
+
 def micros(at: Column, kind: DataType) -> Column:
     """Microseconds of a time as a long, whatever its type; those of a time without a zone do not depend on the
     session's zone."""

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.relational import _hot_keys, _marked, _must_be_new, _quoted, overlap_join
+from tessera.operators.relational import _hot_keys, _marked, _must_be_new, _quoted, overlap_join, parts_of
 
 
 def _valid(df: DataFrame, start: str, end: str) -> DataFrame:
@@ -30,12 +30,15 @@ def coalesce(
     more than `hot` rows: windows are then by key and bucket, and one row a bucket hands on the greatest end and, once
     that is known, the number of spans begun. Rows of one span are added up before they are shuffled, wherever they lie.
 
+    Rows are counted first, and a task of the windows gets about ROWS of them, as keys allow.
+
     A null in `by` is a value. Ties of starts make no difference.
     """
     _must_be_new([out], df.select(*map(_quoted, by), _quoted(start), _quoted(end)))
     keys = [f"_k{i}" for i in range(len(by))]
     # Ends as (open, end), so that an open one is the greatest.
     rows = _valid(df, start, end).select(*[_quoted(c).alias(k) for k, c in zip(keys, by)], _quoted(start).alias("_a"), F.struct(_quoted(end).isNull().alias("open"), _quoted(end).alias("at")).alias("_z"))
+    number = parts_of(rows)
     many = None if bucket is None else _hot_keys(rows, keys, hot)
     parts = keys
     carried = F.lit(None).cast(rows.schema["_z"].dataType)
@@ -46,6 +49,8 @@ def coalesce(
         ends = rows.filter("_hot").groupBy(*parts).agg(F.max("_z").alias("_e")).withColumn("_e", F.max("_e").over(before))
         rows = _handed(rows, ends, parts, "_e")
         carried = F.col("_e")
+    if parts:
+        rows = rows.repartition(number, *parts)
     w = Window.partitionBy(*parts).orderBy(F.col("_a").asc_nulls_first())
     so_far = F.greatest(carried, F.max("_z").over(w.rowsBetween(Window.unboundedPreceding, -1)))
     begins = so_far.isNull() | (F.col("_a").isNotNull() & ~so_far.getField("open") & (F.col("_a") > so_far.getField("at")))

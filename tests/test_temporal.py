@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.operators import relational
 from tessera.operators.temporal import coalesce, valid_time_join
 
 
@@ -76,3 +77,11 @@ def test_valid_time_join_against_brute_force(spark):
     assert got.columns == ["l", "r", "valid_from", "valid_to"]
     assert sorted(((x.l.i, x.r.i, x.valid_from, x.valid_to) for x in got.collect()), key=repr) == sorted(want, key=repr) and len(want) > 60
     assert valid_time_join(frames[0].limit(0), frames[1], ["k"], ("a", "b"), ("a", "b"), 4.0).count() == 0
+
+
+def test_a_task_gets_a_number_of_rows_however_well_they_compress(spark, monkeypatch):
+    monkeypatch.setattr(relational, "ROWS", 50)
+    df = spark.createDataFrame(some_rows(1, 300), "k string, a int, b int, i int")
+    got = coalesce(df, ["k"], "a", "b")
+    assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().toString()
+    assert sorted(map(tuple, got.collect()), key=repr) == spans(some_rows(1, 300))
