@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DataType, DecimalType, IntegralType, StructType
 
-from tessera.operators.relational import _quoted, latest_by
+from tessera.operators.relational import _quoted, latest_by, parts_of
 from tessera.streaming.patterns import ROCKS
 
 WEIGHT = "w"
@@ -38,9 +38,13 @@ def consolidate(df: DataFrame) -> DataFrame:
 def join_changes(left: DataFrame, left_changes: DataFrame, right: DataFrame, right_changes: DataFrame, on: Sequence[str]) -> DataFrame:
     """The changes of left JOIN right on equal `on`: left_changes with right as it is now, and left as it was with
     right_changes. left and right are weighted rows from before the changes; other columns of the two have names of
-    their own."""
+    their own. All are counted first, and a task of the joins gets about ROWS of their rows."""
+
+    number = parts_of(left, left_changes, right, right_changes)
+    dealt = lambda df: df.repartition(number, *map(_quoted, on)) if number > 1 else df
 
     def pairs(l: DataFrame, r: DataFrame) -> DataFrame:
+        l, r = dealt(l), dealt(r)
         both = l.withColumnRenamed(WEIGHT, "_wl").join(r.withColumnRenamed(WEIGHT, "_wr"), list(on))
         return both.withColumn(WEIGHT, F.col("_wl") * F.col("_wr")).drop("_wl", "_wr")
 

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 import pytest
 
+from tessera.operators import relational
 from tessera.streaming import views
 from tessera.streaming.windows import read_stream
 
@@ -115,3 +116,15 @@ def test_values_that_would_drift_are_refused(spark):
     for f in (views.aggregate, lambda *a: views.aggregate_changes(a[0], *a)):
         with pytest.raises(ValueError):
             f(df, ["g"], "v")
+
+
+def test_a_task_of_a_batch_join_gets_a_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(relational, "ROWS", 10)
+    l = spark.createDataFrame([(i % 7, i, 1) for i in range(30)], "k int, a int, w long")
+    r = spark.createDataFrame([(i % 5, -i, 1) for i in range(20)], "k int, b int, w long")
+    got = views.join_changes(l, l.limit(4), r, r.limit(3), ["k"])
+    assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().toString()
+    ls, rs = [tuple(x) for x in l.collect()], [tuple(x) for x in r.collect()]
+    dl, dr = ls[:4], rs[:3]
+    want = [(x[0], x[1], y[1], 1) for a, b in ((dl, rs + dr), (ls, dr)) for x in a for y in b if x[0] == y[0]]
+    assert sorted(map(tuple, got.collect())) == sorted(want) and want
