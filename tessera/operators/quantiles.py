@@ -134,29 +134,51 @@ def _finished(rows: DataFrame, keys: list[str]) -> DataFrame:
     return counts.filter((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("before") + F.col("m"))).select(*keys, "q", "n", "_v")
 
 
+#: Values that are counted together, and counters that a task holds for each that it gives out.
+TOGETHER, HELD = 200_000, 20
+
+
 def _summaries(size: int):
     """A function of batches of items: counters of the items of a task, `size` at most, and what they may lack.
 
-    The counters of Misra and Gries, whole batches at a time: counts are added, and if more than `size` items have one,
-    all lose the (size + 1)-th greatest count and those at or below 0 go. What an item may lack is the sum of
-    these losses, which is less than a (size + 1)-th of the task's rows."""
+    The counters of Misra and Gries, many values at a time: counts are added, and if more than HELD * size items have one,
+    all lose the next greatest count and those at or below 0 go; at the end the same leaves `size`. What an item
+    may lack is the sum of these losses. A row without an item has the losses and the number of nulls."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = {}
-        lost = rows = 0
+        lost = rows = nulls = 0
         item = pa.string()
+
+        def cut(most: int) -> None:
+            nonlocal held, lost
+            if len(held) > most:
+                least = sorted(held.values(), reverse=True)[most]
+                held = {k: v - least for k, v in held.items() if v > least}
+                lost += least
+
+        def add(columns: list[pa.Array]) -> None:
+            found = pa.chunked_array(columns).value_counts()
+            for k, n in zip(found.field(0).to_pylist(), found.field(1).to_pylist()):
+                held[k] = held.get(k, 0) + n
+            cut(HELD * size)
+
+        waiting, n = [], 0
         for batch in batches:
             item = batch.schema.field(0).type
             rows += batch.num_rows
-            for pair in batch.column(0).value_counts().to_pylist():
-                held[pair["values"]] = held.get(pair["values"], 0) + pair["counts"]
-            if len(held) > size:
-                cut = sorted(held.values(), reverse=True)[size]
-                held = {k: v - cut for k, v in held.items() if v > cut}
-                lost += cut
+            nulls += batch.column(0).null_count
+            waiting.append(batch.column(0).drop_null())
+            n += batch.num_rows
+            if n >= TOGETHER:
+                add(waiting)
+                waiting, n = [], 0
+        if waiting:
+            add(waiting)
+        cut(size)
         if rows:
             names = [None, *held]
-            yield pa.RecordBatch.from_arrays([pa.array(names, item), pa.array([0, *held.values()], pa.int64()), pa.array([lost] + [0] * len(held), pa.int64()), pa.array([False] + [True] * len(held))], ["item", "seen", "lost", "counted"])
+            yield pa.RecordBatch.from_arrays([pa.array(names, item), pa.array([nulls, *held.values()], pa.int64()), pa.array([lost] + [0] * len(held), pa.int64()), pa.array([False] + [True] * len(held))], ["item", "seen", "lost", "counted"])
 
     return run
 
@@ -165,8 +187,8 @@ def heavy_hitters(df: DataFrame, item: str, k: int, size: int | None = None) ->
     """(item, n): the k most frequent values of a column with their exact counts, those of the k-th place's count all,
     so that ties are not broken by chance.
 
-    Pass one: each task keeps at most `size` counters (Misra and Gries; 8 k by default, at least 1,000), whatever the
-    number of distinct values. Added up, a value's counters lack no more than the sum of what the tasks lost.
+    Pass one: each task gives out at most `size` counters (Misra and Gries; 8 k by default, at least 1,000), whatever the
+    number of distinct values, and counts nulls. Added up, a value's counters lack no more than the sum of what the tasks lost.
     Values whose counters and that sum reach the k-th greatest sum of counters are the candidates; no other can be
     among the k, as the k-th value has that many rows at least. Pass two counts the candidates exactly. The summaries
     are a row for each counter of a task, and are added up by value; the candidates are broadcast if they are few.
@@ -177,10 +199,10 @@ def heavy_hitters(df: DataFrame, item: str, k: int, size: int | None = None) ->
     size = size or max(1000, 8 * k)
     kind = df.schema[item].dataType
     values = df.select(_quoted(item).alias("item"))
-    nulls = values.filter("item IS NULL").agg(F.count("*").alias("n")).filter("n > 0").select(F.lit(None).cast(kind).alias("item"), "n")
-    values = values.filter("item IS NOT NULL")
     found = values.mapInArrow(_summaries(size), f"item {kind.simpleString()}, seen long, lost long, counted boolean")
     found = stored(found)
+    nulls = found.filter("NOT counted").agg(F.sum("seen").alias("n")).filter("n > 0").select(F.lit(None).cast(kind).alias("item"), "n")
+    values = values.filter("item IS NOT NULL")
     lost = found.agg(F.coalesce(F.sum("lost"), F.lit(0))).first()[0]
     seen = found.filter("counted").groupBy("item").agg(F.sum("seen").alias("seen"))
     best = seen.orderBy(F.desc("seen")).limit(k).agg(F.count("*"), F.min("seen")).first()

@@ -8,6 +8,9 @@ from decimal import Decimal
 
 import pytest
 
+import pyarrow as pa
+
+from tessera.operators import quantiles as quantiles_module
 from tessera.operators.quantiles import heavy_hitters, quantiles
 
 QS = [0.0, 0.01, 0.3, 0.5, 0.75, 0.999, 1.0]
@@ -132,3 +135,11 @@ def test_a_summary_loses_little(spark):
     assert all(r["seen"] <= counts[r["item"]] <= r["seen"] + lost for r in rows if r["counted"])
     seen = {r["item"] for r in rows if r["counted"]}
     assert all(n <= lost for x, n in counts.items() if x not in seen)
+
+
+def test_summaries_count_nulls_and_lose_what_the_counters_given_out_lack():
+    words = ["a"] * 6 + ["b"] * 4 + [None] * 3 + list("cdefg") * 2
+    batches = [pa.RecordBatch.from_arrays([pa.array(words[k::4], pa.string())], ["item"]) for k in range(4)]
+    (out,) = quantiles_module._summaries(2)(iter(batches))
+    assert out.to_pylist()[0] == {"item": None, "seen": 3, "lost": 2, "counted": False}
+    assert {x["item"]: x["seen"] for x in out.to_pylist()[1:]} == {"a": 4, "b": 2}
