@@ -18,7 +18,6 @@ columns do not matter and are not carried: ids come with the id column alone.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import struct
 import zlib
@@ -29,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.work import settle, tidy
+from tessera.llm.work import kept, settle, tidy
 
 #: Characters of text in a block; most buckets.
 BLOCK = 16 << 20
@@ -49,7 +48,7 @@ def _ranges(chars: set[str]) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
 
 
-@functools.lru_cache(4)
+@kept(4)
 def splitter(pattern: str):
     """A function text -> its pre-tokens, as the rank files' library splits.
 
@@ -76,7 +75,7 @@ def splitter(pattern: str):
     return lambda text: exact(text) if differs(text) else plain(text)
 
 
-@functools.lru_cache(2)
+@kept(2)
 def ranks(path: str) -> dict[bytes, int]:
     import base64
 
@@ -84,14 +83,14 @@ def ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-@functools.lru_cache(2)
+@kept(2)
 def core(path: str, pattern: str):
     import tiktoken
 
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks(path), special_tokens={})
 
 
-@functools.lru_cache(2)
+@kept(2)
 def token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The token-byte table: starts, lengths, bytes end to end."""
     table = ranks(path)
@@ -257,7 +256,7 @@ def _assembled(df, path, pattern, id_col, text, buckets, block_bytes, of, fields
     schema = "bucket long, block long, kind int, a binary, b binary"
 
     def explode(batches):
-        settle()
+        settle(__name__)
         find, at = splitter(pattern), TaskContext.get().partitionId() << 24
         block, names = Block(find), []
         for batch in batches:
@@ -275,7 +274,7 @@ def _assembled(df, path, pattern, id_col, text, buckets, block_bytes, of, fields
         tidy()
 
     def encode_words(batches):
-        settle()
+        settle(__name__)
         now, memo = None, {}
         for batch in batches:
             out = []
@@ -327,7 +326,7 @@ def _assembled(df, path, pattern, id_col, text, buckets, block_bytes, of, fields
         def batch_of(out):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int64(), *(k for _, _, k in fields)])], [id_col, *(n for n, _, _ in fields)])
 
-        settle()
+        settle(__name__)
         held: list = []
         for batch in batches:
             for row in batch.to_pylist():
