@@ -4,13 +4,16 @@ A shard is the index of a bounded run of rows: postings by term, and for each te
 the greatest term weight (tf part of BM25). Document frequencies, the number of rows and the mean
 length are global, so scores of shards compare and the merge of their top k is exact.
 
-A search is block-max WAND, set-wise instead of row by row. Given a threshold, the k-th score or less, the
-lists whose greatest weights add up to less than it are set aside, the longest for their weight first: a
-row in no other list cannot reach the threshold, which is the pivot test. The rows of the other lists are
-scored by these; those that the block maxima of the lists set aside still lift to the threshold are scored
-in full. Thresholds: in a shard the k-th score by the rarest terms, then by the lists taken; between shards
-the k-th score of the shards searched before. About FIRST shards come first, then eight times as many, and
-so on, so later shards return few rows: some 8 * k rows a query for each such step, however many shards.
+A search is block-max WAND, set-wise instead of row by row. Given a threshold, the k-th score or less, a
+query whose lists' greatest weights add up to less than it is done with the shard. The long lists are set
+aside: rows are scored by the short ones, and a block without a row that the long lists' block maxima lift to
+the threshold is skipped. The other blocks are scored in full, a block at a time for all queries that still
+want it. Weights of long lists stand in a table by block, so that both their maxima and their scores are matrix
+products in single precision, with room for its error; the rows near the threshold are scored again in double
+precision. Rows of one commonest word and like lengths share blocks. Thresholds: in a shard the k-th
+score by the rarest terms, then by the short lists; between shards the k-th score of the shards searched
+before. About FIRST shards come first, then eight times as many, and so on, so later shards return few rows:
+some 8 * k rows a query for each such step, however many shards.
 
 Defined results: words are maximal runs of bytes other than ASCII white space, A-Z in lower case; a
 query counts each distinct word as often as it occurs; a null or empty text has no words, matches
@@ -24,7 +27,9 @@ of n * n / 2 ** 65.
 from __future__ import annotations
 
 import pickle
+from collections.abc import Iterable, Iterator
 from functools import reduce
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +42,8 @@ from tessera.llm.work import settle, settled, stash, tidy
 
 #: Bytes of text in a shard; rows in a block; queries in one pass, and their distinct words; shards searched first.
 SHARD, BLOCK, QUERIES, TERMS, FIRST = 16 << 20, 64, 4096, 2_000_000, 3
+#: A long list has more than a LONG-th of the rows; most long lists of a shard, and their cells; cells scored at once.
+LONG, LISTS, CELLS, AT_ONCE = 24, 1024, 8 << 20, 1 << 20
 K1, B = 1.2, 0.75
 
 
@@ -65,11 +72,16 @@ def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Shard:
-    """Postings of consecutive rows: terms sorted; rows and counts of each; block maxima by row block."""
+    """Postings of a run of rows: terms sorted; rows and counts of each. `gather`: rows of one commonest word stand
+    together, by length."""
 
-    def __init__(self, ids: list, texts: list[bytes | None]):
-        self.ids = ids
+    def __init__(self, ids: list, texts: list[bytes | None], gather: bool = False):
         found = [terms(t) for t in texts]
+        if gather:
+            lead = np.array([t[n.argmax()] if len(t) else 0 for t, n, _ in found], np.int64)
+            order = np.lexsort(([n for _, _, n in found], lead)).tolist()
+            ids, found = [ids[i] for i in order], [found[i] for i in order]
+        self.ids = ids
         self.length = np.array([n for _, _, n in found], np.int32)
         flat = np.concatenate([t for t, _, _ in found]) if found else np.zeros(0, np.int64)
         row = np.repeat(np.arange(len(found), dtype=np.int32), [len(t) for t, _, _ in found])
@@ -81,22 +93,27 @@ class Shard:
         self.row, self.count = (x.astype(np.min_scalar_type(int(x.max(initial=0)))) for x in (row[order], count))
 
     def weigh(self, mean: float) -> None:
-        """The part of BM25 that does not depend on the query, its maxima by term and by term and block, and
-        the terms of each row."""
-        norm = K1 * (1 - B + B * self.length / (mean or 1.0))
+        """The part of BM25 that does not depend on the query, its maxima by term, and the table of the long
+        lists with their maxima by block."""
+        self.norm = K1 * (1 - B + B * self.length / (mean or 1.0))
         self.row = self.row.astype(np.int64)  # as numpy indexes
-        self.weight = self.count * (K1 + 1) / (self.count + norm[self.row])
-        del self.count
-        block = self.row // BLOCK
-        term = np.repeat(np.arange(len(self.terms), dtype=np.int32), np.diff(self.start))
-        edge = np.flatnonzero((np.diff(block, prepend=-1) != 0) | (np.diff(term, prepend=-1) != 0))
-        self.block, self.most = block[edge], np.maximum.reduceat(self.weight, edge) if len(edge) else np.zeros(0)
-        self.block_start = np.searchsorted(edge, self.start)
+        self.weight = self.count * (K1 + 1) / (self.count + self.norm[self.row])
         self.greatest = np.maximum.reduceat(self.weight, self.start[:-1]) if len(self.terms) else np.zeros(0)
-        order = np.argsort(self.row, kind="stable")
-        self.row_term, self.row_weight = term[order], self.weight[order]
-        self.row_start = np.searchsorted(self.row[order], np.arange(len(self.length) + 1))
-        self.asked = np.zeros(len(self.terms))
+        rows, size = len(self.length), np.diff(self.start)
+        blocks = -(-rows // BLOCK)
+        long = np.flatnonzero(size > rows / LONG)
+        long = np.sort(long[np.argsort(-size[long], kind="stable")[: min(LISTS, CELLS // max(rows, 1))]])
+        self.long = np.full(len(self.terms), -1, np.int32)
+        self.long[long] = np.arange(len(long))
+        own, n = _ranges(self.start[long], self.start[long + 1])
+        at = np.repeat(np.arange(len(long)), n), self.row[own]
+        self.long_count = np.zeros((len(long), rows), self.count.dtype)
+        self.long_count[at] = self.count[own]
+        del self.count
+        self.table = np.zeros((blocks, len(long), BLOCK), np.float32)
+        self.table[at[1] // BLOCK, at[0], at[1] % BLOCK] = self.weight[own]
+        self.most = np.ascontiguousarray(self.table.max(2).T)
+        self.asked = np.zeros((max(AT_ONCE // max(blocks * BLOCK, 1), 1), len(long)), np.float32)
 
     def seed(self, at: np.ndarray, idf: np.ndarray, k: int) -> float:
         """A lower bound of the k-th score from the rarest of the terms `at`, whose postings are 4 * k at
@@ -111,60 +128,71 @@ class Shard:
         score = np.bincount(back, np.repeat(idf[rare], n) * self.weight[own])
         return float(np.partition(score, len(score) - k)[len(score) - k])
 
-    def add(self, at: np.ndarray, idf: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """The scores of all rows by the lists `at`."""
-        own = [slice(a, z) for a, z in zip(self.start[at].tolist(), self.start[at + 1].tolist())]
-        if not own:
-            return np.zeros(len(self.length))
-        weight = np.concatenate([self.weight[x] for x in own])
-        weight *= np.repeat(idf, size)
-        return np.bincount(np.concatenate([self.row[x] for x in own]), weight, len(self.length))
+    def find(self, words: np.ndarray) -> np.ndarray:
+        """The places of term hashes among the shard's terms, -1 for others."""
+        if not len(self.terms):
+            return np.full(len(words), -1)
+        at = np.minimum(np.searchsorted(self.terms, words), len(self.terms) - 1)
+        return np.where(self.terms[at] == words, at, -1)
 
     def top(self, query: np.ndarray, idf: np.ndarray, k: int, least: float = 0.0) -> list[tuple[float, int]]:
         """The k best (score, row) of those whose score is `least` or more, exactly; query: term hashes, idf:
         their weights in this query."""
-        at = np.searchsorted(self.terms, query)
-        ok = at < len(self.terms)
-        ok[ok] = self.terms[at[ok]] == query[ok]
-        at, idf = at[ok], idf[ok]
-        if not len(at):
-            return []
+        at = self.find(query)
+        return next(self.tops([(at[at >= 0], idf[at >= 0], least)], k))
+
+    def tops(self, queries: Iterable[tuple[np.ndarray, np.ndarray, float]], k: int) -> Iterator[list[tuple[float, int]]]:
+        """top() for each (places of terms, their weights, least)."""
+        for some in batched(queries, len(self.asked)):
+            yield from self._tops(some, k)
+
+    def _tops(self, queries: tuple, k: int) -> Iterator[list[tuple[float, int]]]:
         near = 1 - 1e-9  # for sums in another order
-        least = (least or self.seed(at, idf, k)) * near
-        bound, size = idf * self.greatest[at], self.start[at + 1] - self.start[at]
-        by = np.argsort(bound / size, kind="stable")
-        at, idf, size = at[by], idf[by], size[by]
-        total = np.cumsum(bound[by])
-        if total[-1] < least:
-            return []
-        cut = int(np.searchsorted(total, least))  # the sum of the lists before it is less
-        score = self.add(at[cut:], idf[cut:], size[cut:])
-        hit = np.flatnonzero((score > 0) & (score >= least - (total[cut - 1] if cut else 0.0)))
-        if cut and len(hit):
-            entry = [slice(a, z) for a, z in zip(self.block_start[at[:cut]].tolist(), self.block_start[at[:cut] + 1].tolist())]
-            n = self.block_start[at[:cut] + 1] - self.block_start[at[:cut]]
-            rest = np.bincount(np.concatenate([self.block[e] for e in entry]), np.repeat(idf[:cut], n) * np.concatenate([self.most[e] for e in entry]))
-            hit = hit[score[hit] + rest[np.minimum(hit // BLOCK, len(rest) - 1)] >= least]
-        while cut and len(hit):
-            if len(hit) > k:
-                least = max(least, float(np.partition(score[hit], len(hit) - k)[len(hit) - k]) * near)
-                hit = hit[score[hit] + total[cut - 1] >= least]
-            postings = np.cumsum(size[:cut][::-1])
-            if (self.row_start[hit + 1] - self.row_start[hit]).sum() < postings[-1]:  # the rows' own words are fewer
-                self.asked[at[:cut]] = idf[:cut]
-                own, n = _ranges(self.row_start[hit], self.row_start[hit + 1])
-                score[hit] += np.bincount(np.repeat(np.arange(len(hit)), n), self.asked[self.row_term[own]] * self.row_weight[own], len(hit))
-                self.asked[at[:cut]] = 0.0
-                break
-            # The lists that bound most for their length, a third of what is left; then the pivot test again.
-            lists = int(np.searchsorted(postings, postings[-1] / 3)) + 1
-            score += self.add(at[cut - lists : cut], idf[cut - lists : cut], size[cut - lists : cut])
-            cut -= lists
-            hit = hit[score[hit] + (total[cut - 1] if cut else 0.0) >= least]
-        hit = hit[score[hit] >= least]
+        above = 1 + (len(self.most) + 8) * 2.0**-23  # for sums in single precision
+        blocks = len(self.table)
+        score, floor, asked = np.zeros((len(queries), blocks * BLOCK)), np.full(len(queries), np.inf), self.asked[: len(queries)]
+        for i, (at, idf, least) in enumerate(queries):
+            bar = (least or self.seed(at, idf, k)) * near
+            if not len(at) or idf @ self.greatest[at] < bar:
+                continue
+            long = self.long[at]
+            short = at[long < 0]
+            asked[i, long[long >= 0]] = idf[long >= 0]
+            own, n = _ranges(self.start[short], self.start[short + 1])
+            score[i] = np.bincount(self.row[own], np.repeat(idf[long < 0], n) * self.weight[own], score.shape[1])
+            if not least and k < score.shape[1]:
+                bar = max(bar, float(np.partition(score[i], -k)[-k]) * near)
+            floor[i] = bar
+        reach = (score.reshape(len(queries), blocks, BLOCK).max(2) + asked @ self.most) * above
+        live = (reach > 0) & (reach >= floor[:, None])
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for b in np.flatnonzero(live.any(0)).tolist():
+            i = np.flatnonzero(live[:, b])
+            s = (score[i, b * BLOCK : (b + 1) * BLOCK] + asked[i] @ self.table[b]) * above
+            q, r = np.nonzero((s > 0) & (s >= floor[i, None]))
+            found.append((i[q], b * BLOCK + r, s[q, r]))
+        asked[:] = 0.0
+        q, row, most = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(q, kind="stable")
+        edge = np.searchsorted(q[order], np.arange(len(queries) + 1))
+        for i, (at, idf, _) in enumerate(queries):
+            own = order[edge[i] : edge[i + 1]]
+            if len(own) > k:  # the k-th of the upper bounds is below its own lower bound by their error at most
+                own = own[most[own] >= np.partition(most[own], -k)[-k] * (2 - above) ** 2]
+            yield self._exact(row[own], score[i], at, idf, floor[i], k)
+
+    def _exact(self, hit: np.ndarray, score: np.ndarray, at: np.ndarray, idf: np.ndarray, least: float, k: int) -> list[tuple[float, int]]:
+        """The k best of the rows `hit`, whose scores by the short lists are given."""
+        idf, long = idf[self.long[at] >= 0][:, None], self.long[at][self.long[at] >= 0][:, None]
+        score = score[hit]
+        for a in range(0, len(hit) if len(long) else 0, 4096):
+            n = self.long_count[long, hit[a : a + 4096]]
+            score[a : a + 4096] += (idf * (n * (K1 + 1) / (n + self.norm[hit[a : a + 4096]]))).sum(0)
+        hit, score = hit[score >= least], score[score >= least]
         if len(hit) > k:  # ties at the k-th place are kept for the ids to decide
-            hit = hit[score[hit] >= np.partition(score[hit], len(hit) - k)[len(hit) - k] * (1 - 1e-12)]
-        best = list(zip(score[hit].tolist(), hit.tolist()))
+            keep = score >= np.partition(score, -k)[-k] * (1 - 1e-12)
+            hit, score = hit[keep], score[keep]
+        best = list(zip(score.tolist(), hit.tolist()))
         best.sort(key=lambda x: (-round(x[0], 9), self.ids[x[1]] is None, self.ids[x[1]] or 0))
         return best[:k]
 
@@ -181,7 +209,7 @@ def index(df: DataFrame, id_col: str = "doc_id", text: str = "text", shard: int
         ids, texts, size, number = [], [], 0, TaskContext.get().partitionId() << 24
 
         def close():
-            s = Shard(ids, texts)
+            s = Shard(ids, texts, gather=True)
             return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([len(ids)]), pa.array([int(s.length.sum())]), pa.array([pickle.dumps(s, 5)], pa.binary())], ["shard", "rows", "words", "blob"])
 
         for batch in batches:
@@ -274,12 +302,20 @@ class Asked:
         new = np.concatenate([[True], (none[1:] != none[:-1]) | (q[1:] != q[:-1]) | (h[1:] != h[:-1])]) if len(q) else np.zeros(0, bool)
         edge = np.flatnonzero(new)
         self.names = [(None if x else a, b) for x, a, b in zip(none[edge].tolist(), q[edge].tolist(), h[edge].tolist())]
-        self.edge, self.t, self.w = np.append(edge, len(q)), t[order], w[order]
+        self.edge, self.w = np.append(edge, len(q)), w[order]
+        self.words, at = np.unique(t[order], return_inverse=True)
+        self.at = at.astype(np.int32)
         self.least: dict = {}
 
     def raise_to(self, q: pa.Array, h: pa.Array, score: pa.Array, doc: pa.Array) -> None:
         self.least = {(a, b): (s, d) for a, b, s, d in zip(q.to_pylist(), h.to_pylist(), score.to_pylist(), doc.to_pylist())}
 
+    def found(self, place: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+        """Each query for Shard.tops(), from the places of `words`."""
+        for name, a, z in zip(self.names, self.edge[:-1].tolist(), self.edge[1:].tolist()):
+            at = place[self.at[a:z]]
+            yield at[at >= 0], self.w[a:z][at >= 0], self.least.get(name, (0.0, None))[0]
+
 
 def _searcher(sent, mean: float, k: int):
     def run(batches):
@@ -289,10 +325,10 @@ def _searcher(sent, mean: float, k: int):
             for blob in batch["blob"]:
                 s = pickle.loads(blob.as_buffer())
                 s.weigh(mean)
-                rows = []
-                for name, a, z in zip(asked.names, asked.edge[:-1].tolist(), asked.edge[1:].tolist()):
+                at, rows = s.find(asked.words), []
+                for name, best in zip(asked.names, s.tops(asked.found(at), k)):
                     least, last = asked.least.get(name, (0.0, None))
-                    for x, r in s.top(asked.t[a:z], asked.w[a:z], k, least):
+                    for x, r in best:
                         # A tie with the k-th place so far counts only before its id.
                         if least and round(x, 9) == round(least, 9) and last is not None and (s.ids[r] is None or s.ids[r] >= last):
                             continue

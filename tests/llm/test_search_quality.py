@@ -115,6 +115,42 @@ def test_bm25_rare_terms_seed_the_threshold():
     assert seeded > 50
 
 
+def test_bm25_blocks_below_the_threshold_are_not_scored():
+    """Rows of two vocabularies: with the k-th score known, the blocks of the other one are not read."""
+    rnd = random.Random(5)
+    texts = [" ".join(f"{'ab'[i % 2]}{int(rnd.paretovariate(0.5)) % 900}" for _ in range(rnd.choice([20, 60, 200]))).encode() for i in range(2000)]
+    texts[7::100] = [texts[7]] * 20  # more copies than k
+    s = bm25.Shard(list(range(2000)), texts, gather=True)
+    s.weigh(float(s.length.mean()))
+    plain, read = s.table, []
+
+    class Counted:
+        def __len__(self):
+            return len(plain)
+
+        def __getitem__(self, b):
+            read.append(b)
+            return plain[b]
+
+    s.table, warm = Counted(), []
+    for q in range(0, 300, 7):
+        t, n, _ = bm25.terms(texts[q])
+        at = s.find(t)
+        idf = n * np.log1p((2000 + 0.5) / (np.diff(s.start)[at] + 0.5))
+        score = np.zeros(2000)
+        for a, w in zip(at, idf):
+            own = slice(s.start[a], s.start[a + 1])
+            score[s.row[own]] += w * s.weight[own]
+        want = sorted((-round(x, 9), s.ids[i]) for i, x in enumerate(score) if x)[:10]
+        for least in (0.0, -want[-1][0]):
+            read.clear()
+            found = list(s.tops([(at, idf, least), (at[:0], idf[:0], 0.0), (at, idf, least)], 10))
+            assert [s.ids[r] for _, r in found[0]] == [i for _, i in want] and found[1] == [] and found[2] == found[0]
+            assert [x for x, _ in found[0]] == pytest.approx([-x for x, _ in want], abs=1e-8)
+        warm.append(len(read))
+    assert sum(warm) < 0.55 * len(plain) * len(warm), sum(warm) / len(plain) / len(warm)
+
+
 def test_machine_interactions_in_linear_time():
     """The sum-of-squares identity equals the sum over pairs."""
     rng = np.random.default_rng(0)
