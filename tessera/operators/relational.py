@@ -146,6 +146,13 @@ def asof_join(
 ENDLESS, PARTS = -1, 32
 
 
+def _level(unit: float) -> Column:
+    """The dyadic level of the span (lo, hi): its cells, (unit, 2 unit, 4 unit, ...), are as wide as the span."""
+    size = F.greatest(F.col("hi") - F.col("lo"), F.lit(float(unit)))
+    ends = F.abs("hi") < float("inf")
+    return F.when(ends & (F.abs("lo") < float("inf")) & (size < float("inf")), F.ceil(F.log2(size / unit) - 1e-9).cast("int")).otherwise(ENDLESS)
+
+
 def _stab(points: DataFrame, spans: DataFrame, keys: Sequence[str], unit: float, inside: Column) -> DataFrame:
     """Points (keys, x, ...) joined with the spans (keys, lo, hi, ...) whose cells hold them, where `inside` is true.
 
@@ -153,11 +160,8 @@ def _stab(points: DataFrame, spans: DataFrame, keys: Sequence[str], unit: float,
     two of them or three at most. A point lies in one cell of each level that has spans; which these are is a scalar
     subquery, a number for each doubling of width. Endless spans are copied to PARTS cells, to which points are dealt.
     """
-    size = F.greatest(F.col("hi") - F.col("lo"), F.lit(float(unit)))
-    ends = F.abs("hi") < float("inf")
-    level = F.when(ends & (F.abs("lo") < float("inf")) & (size < float("inf")), F.ceil(F.log2(size / unit) - 1e-9).cast("int")).otherwise(ENDLESS)
     cell = lambda x: F.floor(x / (F.lit(float(unit)) * F.pow(F.lit(2.0), F.col("_level"))))
-    spans = spans.withColumn("_level", level)
+    spans = spans.withColumn("_level", _level(unit))
     levels = spans.agg(F.collect_set("_level")).scalar()
     whole = F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))
     spans = spans.withColumn("_cell", F.explode(F.when(F.col("_level") == ENDLESS, whole).otherwise(F.sequence(cell(F.col("lo")), cell(F.col("hi"))))))
@@ -192,9 +196,11 @@ def overlap_join(
 ) -> DataFrame:
     """Pairs (l, r), structs of the columns of left and right, of equal keys whose spans [start, end) overlap.
 
-    The later of two starts lies in both spans. So left starts are looked up among the right spans that began before
-    or with them, right starts among the left spans that began before them: every pair is found once, in the cell
-    of its later start, and nothing is made distinct afterwards. Both are equi-joins on (key, level, cell).
+    The later of two starts lies in both spans. So every pair is found once, in the cell of its later start at the
+    greater of its two levels, by one equi-join on (key, level, cell), and nothing is made distinct afterwards. A row
+    stands in its cells of its own level, if the other side has spans of that level or a lower one, and of those
+    higher levels that the other side has: at most three cells of each. Endless spans are copied to PARTS cells, to
+    which the rows of the other side are dealt.
 
     Bounds are numbers or times, of one type on both sides; `unit`, in seconds for times, is the width of the smallest
     cells. Empty spans, null keys and NaN match nothing. A null bound matches nothing either, or, if
@@ -209,16 +215,39 @@ def overlap_join(
         if open_ended:
             fits = F.when(a.isNull(), b.isNull() | ~F.isnan(hi)).when(b.isNull(), ~F.isnan(lo)).otherwise(fits)
             lo, hi = F.coalesce(lo, F.lit(float("-inf"))), F.coalesce(hi, F.lit(float("inf")))
-        sides.append(df.filter(fits).select(*[_quoted(c).alias(k) for k, c in zip(keys, by)], lo.alias("lo"), hi.alias("hi"), F.struct(*map(_quoted, df.columns)).alias(name)))
-    l, r = sides
+        span = df.filter(fits).select(*[_quoted(c).alias(k) for k, c in zip(keys, by)], lo.alias("lo"), hi.alias("hi"), F.struct(*map(_quoted, df.columns)).alias(name))
+        sides.append(span.withColumn("_own", _level(unit)))
+    l, r = (_placed(own, other, unit, endless).drop("lo", "hi", "_own") for own, other, endless in ((sides[0], sides[1], (-1, -2)), (sides[1], sides[0], (-2, -1))))
     a, b, c, d = (F.col(f"{n}.`{x}`") for n, x in (("l", left_span[0]), ("l", left_span[1]), ("r", right_span[0]), ("r", right_span[1])))
     # A null start is before all others, a null end after all; without open_ended there are none.
     within = lambda start, end: start.isNull() | end.isNull() | (start < end)
     later = c.isNull() | (a.isNotNull() & (c <= a))
-    points = lambda df: df.withColumnRenamed("lo", "x").drop("hi")
-    first = _stab(points(l), r, keys, unit, later & within(a, d))
-    second = _stab(points(r), l, keys, unit, ~later & within(c, b))
-    return first.select("l", "r").unionAll(second.select("l", "r"))
+    l, r = (x.withColumnsRenamed({"_first": f"_first_{n}", "_level_own": f"_at_{n}"}) for x, n in ((l, "l"), (r, "r")))
+    here = (F.col("_level") < 0) | ((F.col("_at_l") | F.col("_at_r")) & F.when(later, F.col("_first_l")).otherwise(F.col("_first_r")))
+    # Estimates do not see the copies, so a side of any number of rows would be broadcast.
+    return l.join(r.hint("merge"), [*keys, "_level", "_cell"]).filter(here & F.when(later, within(a, d)).otherwise(within(c, b))).select("l", "r")
+
+
+def _placed(spans: DataFrame, other: DataFrame, unit: float, endless: tuple[int, int]) -> DataFrame:
+    """The spans in each (_level, _cell) in which they may meet the other side's; _level_own: it is their own level,
+    _first: the cell holds their start. `endless`: the levels of this side's endless spans and of the other side's; endless
+    pairs meet at -1, so the left side's endless spans do not stand at -2."""
+    levels = other.agg(F.collect_set("_own")).scalar()
+    own, mine, theirs = F.col("_own"), *endless
+    ends = own == ENDLESS
+    at = F.array_intersect(levels, F.sequence(own + 1, F.greatest(F.array_max(levels), own + 1)))
+    at = F.when(F.arrays_overlap(levels, F.sequence(F.lit(0), own)), F.array_append(at, own)).otherwise(at)
+    met = F.array_contains(levels, ENDLESS)
+    none = F.array().cast("array<int>")
+    dealt = F.when(met & (~ends if theirs == -2 else F.lit(True)), F.array(F.lit(theirs))).otherwise(none)
+    at = F.concat(F.when(ends, F.array(F.lit(mine))).otherwise(at), dealt)
+    spans = spans.withColumn("_level", F.explode(at))
+    cell = lambda x: F.floor(F.col(x) / (F.lit(float(unit)) * F.pow(F.lit(2.0), F.col("_level"))))
+    whole = F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))
+    part = F.pmod(F.xxhash64("lo", "hi") + F.spark_partition_id(), F.lit(PARTS)).cast("long")
+    cells = F.when(F.col("_level") == mine, whole).when(F.col("_level") == theirs, F.array(part)).otherwise(F.sequence(cell("lo"), cell("hi")))
+    spans = spans.withColumn("_cell", F.explode(cells))
+    return spans.withColumns({"_level_own": F.col("_level") == own, "_first": F.coalesce(F.col("_cell") == cell("lo"), F.lit(False))})
 
 
 def sessionize(

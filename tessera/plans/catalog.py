@@ -254,7 +254,7 @@ def join_asof(t):
 def join_overlap(t):
     """Shipments under way while an order of the same customer is open."""
     open_ = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", F.expr("o_orderdate + INTERVAL '20' DAY").alias("closed"))
-    lines = t.lineitem.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    lines = t.lineitem.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey").hint("merge"), "l_orderkey")
     sent = lines.select("o_custkey", "l_orderkey", "l_linenumber", "l_shipdate", F.expr("l_shipdate + make_dt_interval(CAST(l_quantity AS INT))").alias("there"))
     pairs = overlap_join(open_, sent, ["o_custkey"], ("o_orderdate", "closed"), ("l_shipdate", "there"), unit=86_400 * 8)
     return pairs.select("l.o_orderkey", "r.l_orderkey", "r.l_linenumber")

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import cosine, safe_div
+from tessera.operators import relational
 from tessera.operators.relational import asof_join, latest_by, overlap_join, range_join, salted_join, sessionize, top_k_per_group
 from tessera.streaming.windows import first_seen, interval_join, read_stream, run_to_end, session_counts, tumbling_counts
 
@@ -132,6 +133,21 @@ def test_overlap_join_plan_has_no_nested_loop(spark):
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_overlap_join_is_one_join_at_every_size(spark):
+    """Rows meet in one shuffled join, whatever the estimates are; each is copied to few cells."""
+    l = spark.range(3000).selectExpr("id", "id % 7 AS k", "id * 3 AS a", "id * 3 + 20 AS b")
+    r = spark.range(3000).selectExpr("id", "id % 7 AS k", "id * 3 + 1 AS a", "id * 3 + 2 + id % 50 AS b")
+    got = overlap_join(l, r, ["k"], ("a", "b"), ("a", "b"), 8.0)
+    pairs = got.collect()
+    want = l.alias("l").join(r.alias("r"), "k").where("l.a < r.b AND r.a < l.b").count()
+    assert len({(x.l.id, x.r.id) for x in pairs}) == len(pairs) == want > 1000
+    text = got._jdf.queryExecution().sparkPlan().toString()
+    assert text.count("SortMergeJoin") == 1 and "BroadcastHashJoin" not in text
+    one, other = (x.selectExpr("cast(a AS double) AS lo", "cast(b AS double) AS hi").withColumn("_own", relational._level(8.0)) for x in (l, r))
+    assert relational._placed(one, other, 8.0, (-1, -2)).count() <= 3000 * 5
+    assert relational._placed(other, one, 8.0, (-2, -1)).count() <= 3000 * 2.5
+
+
 @pytest.mark.parametrize("right_rows", [2, 300])
 def test_salted_join(spark, right_rows):
     l = spark.createDataFrame([("hot", i) for i in range(200)] + [("cold", 1), (None, 2), ("alone", 3)], "k string, _salt int")
